@@ -13,11 +13,14 @@ def anti_join_null_aware(left: DataFrame, right: DataFrame, key: str, right_key:
     side makes it true for every row; otherwise rows with a NULL key drop out.
     SQL's own NOT IN is planned as a broadcast of the right side whatever its
     size. Here the match is a plain anti join against the distinct keys, and
-    the two facts about the right side come from one-row scalar subqueries.
+    the two facts about the right side come from one scalar subquery.
     """
     keys = right.selectExpr(f"{right_key or key} AS listed_key")
-    has_null = keys.selectExpr("coalesce(bool_or(listed_key IS NULL), false)").scalar()
-    is_empty = keys.selectExpr("count(*) = 0").scalar()
+    facts = keys.selectExpr(
+        "struct(count(*) = 0 AS is_empty, coalesce(bool_or(listed_key IS NULL), false) AS has_null)"
+    ).scalar()
     listed = keys.where("listed_key IS NOT NULL").distinct()
     unmatched = left.join(listed, F.expr(f"{key} = listed_key"), "left_anti")
-    return unmatched.where(is_empty | (F.col(key).isNotNull() & ~has_null))
+    return unmatched.where(
+        facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
+    )

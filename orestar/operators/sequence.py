@@ -22,6 +22,8 @@ def with_next(df: DataFrame, key: str, order: str, out: str, day: str | None = N
     rest = [c for c in df.columns if c not in (key, order)]
     record = f"struct({', '.join(rest)})"
     slots = df.groupBy(key, order).agg(F.expr(f"max({record}) AS last_record"), F.expr("count(*) AS sharing"))
+    # Always true. It keeps the count in the plan of both uses, which then share one aggregation.
+    slots = slots.where("sharing > 0")
     last = _lead(slots, key, order, out, day).select(key, order, "last_record.*", out)
     tied = _tied_rows(df, slots, key, order, record).withColumn(out, F.col(order))
     columns = [*df.columns, out]

@@ -86,17 +86,47 @@ def sales_by_cost(star: DataFrame, band: int = 100) -> DataFrame:
     return _summary(star.selectExpr("*", f"floor(cost / {band}) * {band} AS cost_from"), ["cost_from"])
 
 
-def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
+def sales_point_in_time(sales: DataFrame, versions: DataFrame, few: int = 64) -> DataFrame:
     """Every sale with the product version, and so the cost, valid on its order date.
 
     ``versions`` are silver products, whose periods do not overlap within one
-    product of one category. The version is looked up once per distinct
-    (product, day): days and version starts form a timeline per product that
-    the calendar bounds, and each day takes the last version started by then.
-    Sales then join on equality. No sale is ever compared with the other
-    versions of its product.
+    product of one category. If no product number has more than ``few``
+    versions (counted first), sales join on the number and the period decides
+    among those few. Otherwise the version is looked up once per product and day.
+    """
+    valid = versions.where(
+        "prd_start_dt IS NOT NULL AND (prd_end_dt IS NULL OR prd_end_dt >= prd_start_dt)"
+    ).select("prd_key", "cat_id", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost")
+    if (most_versions(valid) or 0) <= few:
+        found = valid
+        on_day = "sls_prd_key = prd_key AND sls_order_dt >= prd_start_dt AND coalesce(sls_order_dt <= prd_end_dt, true)"
+    else:
+        found = versions_by_day(sales, valid)
+        on_day = "sls_prd_key = prd_key AND sls_order_dt = day"
+    return sales.join(found, F.expr(on_day), "left").selectExpr(
+        "sls_ord_num AS order_number",
+        "sls_prd_key",
+        "sls_order_dt AS order_date",
+        "sls_sales AS sales_amount",
+        "sls_quantity AS quantity",
+        "prd_id AS product_id",
+        "prd_start_dt AS version_start",
+        "prd_end_dt AS version_end",
+        "prd_cost AS cost_at_sale",
+    )
+
+
+def most_versions(versions: DataFrame) -> int | None:
+    return versions.groupBy("prd_key").agg(F.expr("count(*) AS n")).selectExpr("max(n)").first()[0]
+
+
+def versions_by_day(sales: DataFrame, valid: DataFrame) -> DataFrame:
+    """The version of each product for every day it was sold on.
+
+    Days and version starts form one timeline per product, which the calendar
+    bounds; each day takes the last version started by then. No sale is ever
+    compared with the other versions of its product.
     """
-    valid = versions.where("prd_start_dt IS NOT NULL AND (prd_end_dt IS NULL OR prd_end_dt >= prd_start_dt)")
     started = valid.selectExpr(
         "prd_key", "cat_id", "prd_start_dt AS day", "false AS sold",
         "struct(prd_id, prd_start_dt, prd_end_dt, prd_cost) AS version",
@@ -105,19 +135,8 @@ def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
     sold = days.join(valid.select("prd_key", "cat_id").distinct(), "prd_key").where("day IS NOT NULL")
     timeline = started.unionByName(sold.selectExpr("prd_key", "cat_id", "day", "true AS sold", "NULL AS version"))
     by_then = "OVER (PARTITION BY prd_key, cat_id ORDER BY day, sold ROWS UNBOUNDED PRECEDING)"
-    found = (
+    return (
         timeline.selectExpr("prd_key", "day", "sold", f"last(version, true) {by_then} AS version")
         .where("sold AND version IS NOT NULL AND coalesce(day <= version.prd_end_dt, true)")
         .selectExpr("prd_key", "day", "version.*")
     )
-    return sales.join(found, F.expr("sls_prd_key = prd_key AND sls_order_dt = day"), "left").selectExpr(
-        "sls_ord_num AS order_number",
-        "sls_prd_key",
-        "sls_order_dt AS order_date",
-        "sls_sales AS sales_amount",
-        "sls_quantity AS quantity",
-        "prd_id AS product_id",
-        "prd_start_dt AS version_start",
-        "prd_end_dt AS version_end",
-        "prd_cost AS cost_at_sale",
-    )
