@@ -16,7 +16,7 @@ from orestar.plans.warehouse import Warehouse
 from orestar.schemas import FEED_FILES, RAW
 from orestar.sources import csv_feeds, feeds
 from orestar.sources.run_log import LOADED
-from orestar.workspace import fresh_path
+from orestar.workspace import fresh_path, materialise
 
 AS_OF = dt.date(2026, 1, 1)
 
@@ -31,7 +31,7 @@ _dimensions: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _dimension(spark: SparkSession, sf_dir: str, name: str, erp_scope: str = "new_only") -> DataFrame:
-    """A numbered dimension. Numbering stores the table, so a session does it once."""
+    """A numbered dimension, stored once per session as the gold layer stores it."""
     known = (spark.sparkContext.applicationId, sf_dir, f"{name}-{erp_scope}")
     if known not in _dimensions:
         tables = _silver(spark, sf_dir, erp_scope)
@@ -39,7 +39,7 @@ def _dimension(spark: SparkSession, sf_dir: str, name: str, erp_scope: str = "ne
             df = gold.dim_customers(tables["crm_cust_info"], tables["erp_cust_az12"], tables["erp_loc_a101"])
         else:
             df = gold.dim_products(tables["crm_prd_info"], tables["erp_pc_cat_g1v2"])
-        _dimensions[known] = df
+        _dimensions[known] = materialise(df, f"dim_{name}")
     return _dimensions[known]
 
 

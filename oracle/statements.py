@@ -175,7 +175,7 @@ _SUM = "CAST(sum({0}) AS BIGINT)"
 _SALES, _UNITS = _SUM.format("sales_amount") + " AS total_sales", _SUM.format("quantity") + " AS units"
 _MEASURES = f"{_SALES}, count(DISTINCT order_number) AS orders, {_UNITS}"
 _PRODUCTS = f"""SELECT product_key, product_number, product_name, count(DISTINCT order_number) AS orders,
- count(DISTINCT sls_cust_id) AS buyers, {_UNITS}, {_SALES}, CAST(sum(sales_amount) AS DOUBLE) / nullif(CAST(sum(quantity) AS DOUBLE), 0) AS avg_price
+ count(DISTINCT customer_key) AS buyers, {_UNITS}, {_SALES}, CAST(sum(sales_amount) AS DOUBLE) / nullif(CAST(sum(quantity) AS DOUBLE), 0) AS avg_price
 FROM sales_star WHERE product_key IS NOT NULL GROUP BY ALL"""
 _COST = "CAST(quantity AS BIGINT) * cost"
 

@@ -56,7 +56,7 @@ def customers(star: DataFrame) -> DataFrame:
 def products(star: DataFrame) -> DataFrame:
     known = star.where("product_key IS NOT NULL")
     by = ["product_key", "product_number", "product_name"]
-    return _summary(known, by, "count(DISTINCT sls_cust_id) AS buyers").selectExpr(
+    return _summary(known, by, "count(DISTINCT customer_key) AS buyers").selectExpr(
         "*", "CAST(total_sales AS double) / nullif(units, 0) AS avg_price"
     )
 

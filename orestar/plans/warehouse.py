@@ -73,6 +73,7 @@ class Warehouse:
         return self.lake.overwrite(tables[table].withColumn(AUDIT_COLUMN, F.current_timestamp()), SILVER, table)
 
     def build_gold(self) -> None:
+        """Both dimensions, then the fact, which is also readable as ``dim_fact_sales``."""
         clean = self.layer(SILVER)
         dimensions = {
             "dim_customers": lambda: gold.dim_customers(
@@ -87,6 +88,8 @@ class Warehouse:
             return self.lake.overwrite(gold.fact_sales(clean["crm_sales_details"], products, customers), GOLD, table)
 
         self._each(GOLD, ["fact_sales"], load_fact)
+        fact, other_name = (self.lake.name(GOLD, table) for table in ("fact_sales", "dim_fact_sales"))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {other_name} AS SELECT * FROM {fact}")
 
     def run_checks(self) -> DataFrame:
         """Run the quality suite on the stored layers and keep its results."""

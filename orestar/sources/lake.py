@@ -48,7 +48,7 @@ class Lake:
     def _point(self, layer: str, table: str, path: str, df: DataFrame) -> None:
         spark, name = self.spark, self.name(layer, table)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'")
-        if self.exists(layer, table) and spark.table(name).schema == df.schema:
+        if self.exists(layer, table) and spark.table(name).dtypes == df.dtypes:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         else:
             spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -7,6 +7,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 import __spark_entry__ as driver
+from orestar.__main__ import main
 from orestar.plans import reports
 from orestar.plans.warehouse import Warehouse
 from orestar.schemas import FEED_FILES, RAW
@@ -39,10 +40,9 @@ def test_layers_equal_the_lazy_queries(spark, sf_dir, loaded):
 
 
 def test_tables_answer_sql(spark, loaded):
-    total = spark.sql(
-        "SELECT sum(f.sales_amount) FROM loaded_gold.fact_sales f JOIN loaded_gold.dim_products p USING (product_key)"
-    ).first()[0]
-    assert total > 0
+    question = "SELECT sum(f.sales_amount) FROM loaded_gold.{} f JOIN loaded_gold.dim_products p USING (product_key)"
+    totals = {spark.sql(question.format(name)).first()[0] for name in ("fact_sales", "dim_fact_sales")}
+    assert len(totals) == 1 and totals.pop() > 0
 
 
 def test_reports_on_the_stored_star(spark, sf_dir, loaded):
@@ -113,6 +113,16 @@ def test_a_failed_load_is_logged_raised_and_changes_nothing(spark, tmp_path):
     assert tolerant.lake.read("silver", "crm_sales_details").first().sls_order_dt is None
 
 
+def test_command_line(spark, sources, tmp_path):
+    job = ["--root", str(tmp_path), "--prefix", "cli_", "--as-of", "2026-01-01"]
+    assert main(["bronze", "--sources", sources, *job]) == 0
+    assert main(["silver", *job]) == 0
+    assert main(["gold", *job]) == 0
+    assert main(["checks", *job]) == 1  # the feeds carry faults of severity FAIL
+    assert spark.table("cli_gold.dim_fact_sales").count() == spark.table("cli_silver.crm_sales_details").count()
+    assert spark.table("cli_ops.load_runs").where("status = 'LOADED'").count() == 15
+
+
 def test_refresh_from_itself_and_new_columns(spark, tmp_path):
     lake = Lake(spark, str(tmp_path), "refresh_")
     assert lake.overwrite(spark.range(5), "silver", "t") == 5
