@@ -14,6 +14,7 @@ from orestar.plans import checks, gold, reports, silver
 from orestar.plans.layer import Layer
 from orestar.plans.warehouse import Warehouse
 from orestar.schemas import FEED_FILES, RAW
+from orestar.session import prepare
 from orestar.sources import csv_feeds, feeds
 from orestar.sources.run_log import LOADED
 from orestar.workspace import fresh_path, materialise
@@ -144,12 +145,20 @@ def _check(run: Callable[[Layer, Layer], DataFrame], erp_scope: str = "new_only"
     return lambda spark, sf_dir: run(feeds.raw_layer(spark, sf_dir), _silver(spark, sf_dir, erp_scope))
 
 
-def _predicate(check_id: str) -> Query:
-    return _check(lambda bronze, clean: checks.predicate_check(check_id, bronze, clean, AS_OF))
+def _predicate(check_id: str, erp_scope: str = "new_only") -> Query:
+    return _check(lambda bronze, clean: checks.predicate_check(check_id, bronze, clean, AS_OF), erp_scope)
 
 
 def queries() -> dict[str, Query]:
     """One callable per query; each reads the tables in ``sf_dir`` whole."""
+    return {name: _in_prepared_session(query) for name, query in _queries().items()}
+
+
+def _in_prepared_session(query: Query) -> Query:
+    return lambda spark, sf_dir: query(prepare(spark), sf_dir)
+
+
+def _queries() -> dict[str, Query]:
     return {
         **{f"bronze_ingest_{table}": _ingest(table) for table in RAW},
         "bronze_rejects": _rejects,
@@ -168,6 +177,9 @@ def queries() -> dict[str, Query]:
         **{f"check_{check_id}": _predicate(check_id) for check_id in checks.predicate_ids()},
         **{f"check_{check_id}": _check(run) for check_id, run in checks.LISTINGS.items()},
         **{f"check_{check_id}": _check(run) for check_id, run in checks.CROSS_TABLE.items()},
+        # The ERP checks over everyone, not only over people the CRM lacks.
+        **{f"check_{check_id}_all": _predicate(check_id, "all") for check_id in ("v21", "v22")},
+        "check_v24_all": _check(checks.LISTINGS["v24"], "all"),
         "check_v31_all": _check(checks.CROSS_TABLE["v31"], "all"),
         "quality_suite": _check(lambda bronze, clean: checks.quality_suite(bronze, clean, AS_OF)),
         "gold_surrogate_keys": _surrogate_keys,

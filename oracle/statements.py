@@ -256,6 +256,9 @@ _LOAD_COUNTS = " UNION ALL ".join(
 def statements() -> dict[str, str]:
     plain = _BRONZE | _SILVER | _GOLD_AND_REPORTS
     plain |= {f"check_{check_id}": sql for check_id, sql in (METRIC_CHECKS | LISTINGS).items()}
+    plain["check_v21_all"] = _total("v21", "silver.erp_cust_az12", "silver_people", "birthdates_out_of_range", _BIRTH_RULES)
+    plain["check_v22_all"] = _by_rule("v22", "silver.erp_cust_az12", "silver_people", _BIRTH_RULES)
+    plain["check_v24_all"] = _counts("silver_people", gen="Gender Distribution")
     plain["check_v31_all"] = _overlap("silver_people")
     plain["quality_suite"] = _SUITE
     plain["load_reconciliation"] = _LOAD_COUNTS

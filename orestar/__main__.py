@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orestar.operators.quality import FAIL
 from orestar.plans.checks import suite_verdict
 from orestar.plans.warehouse import Warehouse
-from orestar.session import cluster_session
+from orestar.session import cluster_session, prepare
 
 
 def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
@@ -43,7 +43,8 @@ def _report(results: DataFrame) -> int:
 
 def main(words: Sequence[str] | None = None) -> int:
     given = _arguments(words)
-    spark = SparkSession.getActiveSession() or cluster_session()
+    active = SparkSession.getActiveSession()
+    spark = prepare(active) if active else cluster_session()
     warehouse = Warehouse(
         spark, given.root, given.prefix, given.as_of, given.erp_scope, given.on_invalid_date
     )

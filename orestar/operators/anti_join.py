@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_PARTS = 8
+
 
 def anti_join_null_aware(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Rows of ``left`` for which ``key NOT IN (right_key of right)`` is true.
@@ -12,14 +14,20 @@ def anti_join_null_aware(left: DataFrame, right: DataFrame, key: str, right_key:
     One NULL on the right makes the condition true for no row; an empty right
     side makes it true for every row; otherwise rows with a NULL key drop out.
     SQL's own NOT IN is planned as a broadcast of the right side whatever its
-    size. Here the match is a plain anti join against the distinct keys, and
-    the two facts about the right side come from one scalar subquery.
+    size. Here the match is a plain anti join, and the two facts about the
+    right side come from one scalar subquery.
+
+    Before the join each right key is reduced to a few copies, at most one per
+    ``part``. Reducing it to one would leave the keys already partitioned for
+    the join, and a join that shuffles only one side cannot be split when a
+    left key is hot.
     """
     keys = right.selectExpr(f"{right_key or key} AS listed_key")
     facts = keys.selectExpr(
         "struct(count(*) = 0 AS is_empty, coalesce(bool_or(listed_key IS NULL), false) AS has_null)"
     ).scalar()
-    listed = keys.where("listed_key IS NOT NULL").distinct()
+    parted = keys.where("listed_key IS NOT NULL").selectExpr("listed_key", f"spark_partition_id() % {_PARTS} AS part")
+    listed = parted.distinct().select("listed_key")
     unmatched = left.join(listed, F.expr(f"{key} = listed_key"), "left_anti")
     return unmatched.where(
         facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE sizes shuffles at run time and splits skewed join partitions, so the
-# initial partition count only has to be large enough for the largest shuffle.
-CLUSTER_SETTINGS = {
+# What the plans rely on, in any session. Hot join keys are split at run time,
+# also where two joins on one key would otherwise share a shuffle; overflow and
+# impossible dates stop a job instead of turning into NULL.
+REQUIRED_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.ansi.enabled": "true",
+}
+
+# AQE merges small shuffle partitions, so their number only has to be large
+# enough for the largest shuffle.
+CLUSTER_SETTINGS = REQUIRED_SETTINGS | {
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
 }
 
 LOCAL_SETTINGS = CLUSTER_SETTINGS | {
@@ -24,6 +31,13 @@ LOCAL_SETTINGS = CLUSTER_SETTINGS | {
 }
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the settings the plans rely on."""
+    for name, value in REQUIRED_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def cluster_session(app: str = "orestar", **extra: str) -> SparkSession:
     """Session for spark-submit: the master comes from the launcher."""
     builder = SparkSession.builder.appName(app)

@@ -102,9 +102,10 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(floor(l_extendedprice / l_quantity) AS int) AS p",
         "CAST(l_shipdate AS date) AS shipped",
     )
-    orders = _table(spark, sf_dir, "orders")
+    # Orders grow with the line items, so they are never broadcast.
+    orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey").hint("merge")
     return _typed(
-        lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey"),
+        lines.join(orders, "l_orderkey"),
         "crm_sales_details",
         sls_ord_num="concat('SO', l_orderkey)",
         sls_prd_key=f"CASE WHEN l_orderkey % 211 = 0 OR l_partkey % 37 = 0 THEN 'ZZ-UNKNOWN' ELSE concat('P', {_padded('l_partkey', 7)}) END",

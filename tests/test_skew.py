@@ -8,6 +8,7 @@ import random
 import pytest
 
 from conftest import plan_of
+from orestar.operators.anti_join import anti_join_null_aware
 from orestar.operators.latest import latest_by_key
 from orestar.operators.sequence import with_next
 from orestar.plans import gold, reports
@@ -61,6 +62,33 @@ def test_the_star_join_splits_hot_keys(spark, sales, products, customers, small_
     assert "SortMergeJoin(skew=true)" in plan_of(fact)
 
 
+def test_two_lookups_on_one_hot_key_are_split(spark, small_partitions):
+    """A third of the customers share a key; both lookups use that key."""
+    customers = spark.range(0, 30_000, numPartitions=8).selectExpr(
+        "CAST(id AS int) AS cst_id", "if(id % 3 = 0, 'HOT', concat('K', id)) AS cst_key", "sha2(CAST(id AS string), 256) AS cst_firstname",
+        "'l' AS cst_lastname", "'n/a' AS cst_material_status", "'n/a' AS cst_gndr", "DATE '2020-01-01' AS cst_create_date",
+    )
+    ids = spark.range(30_000).where("id = 0 OR id % 3 <> 0").selectExpr("if(id = 0, 'HOT', concat('K', id)) AS cid")
+    people = ids.selectExpr("cid", "DATE '1990-01-01' AS bdate", "'Male' AS gen")
+    places = ids.selectExpr("cid", "'Germany' AS cntry")
+    members = gold.customer_members(customers, people, places)
+    assert len(members.collect()) == 30_000
+    assert "skew=true" in plan_of(members)
+    assert members.where("gender = 'Male' AND country = 'Germany'").count() == 30_000
+
+
+def test_not_in_with_hot_keys_on_both_sides(spark, small_partitions):
+    left = spark.range(0, 60_000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, -1, id) AS k", "sha2(CAST(id AS string), 256) AS v"
+    )
+    right = spark.range(0, 60_000, numPartitions=8).selectExpr("if(id % 3 = 1, -2, 2 * id) AS r")
+    unlisted = anti_join_null_aware(left, right, "k", "r")
+    found = unlisted.collect()
+    listed = {-2} | {2 * i for i in range(60_000) if i % 3 != 1}
+    assert sorted(r.k for r in found) == sorted(k for k in (-1 if i % 3 == 0 else i for i in range(60_000)) if k not in listed)
+    assert "SortMergeJoin(skew=true)" in plan_of(unlisted)
+
+
 def test_orphans_with_mostly_null_keys(spark, sales, products, customers, small_partitions):
     fact = gold.star(sales, products, customers).select("order_number", "customer_key", "quantity")
     orphans = gold.orphan_facts(fact, customers.where("customer_key <> 7"), "customer_key")
