@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,4 +70,8 @@ def value_counts(df: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """One union of all; paired up, so that no plan is analysed once per frame."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).unionByName(union_all(frames[middle:]))

@@ -17,6 +17,10 @@ class Layer(Mapping[str, DataFrame]):
             self._tables[table] = self._definitions[table]()
         return self._tables[table]
 
+    def replaced(self, **tables: DataFrame) -> Layer:
+        """The same set with some tables given, such as stored copies."""
+        return Layer({name: lambda name=name: tables[name] if name in tables else self[name] for name in self})
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._definitions)
 
