@@ -1,6 +1,6 @@
 """Batch jobs for spark-submit: load a layer, run the checks, or do it all.
 
-    spark-submit --py-files orestar.zip -m orestar all --sources s3a://in --root s3a://lake
+    spark-submit --py-files orestar.zip orestar/__main__.py all --sources s3a://in --root s3a://lake
 
 The exit code is 1 if a check of severity FAIL found something.
 """
