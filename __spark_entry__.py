@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oracle.statements import statements
+from orestar_oracle.statements import statements
 from orestar.operators.quality import union_all
 from orestar.plans import checks, gold, reports, silver
 from orestar.plans.layer import Layer

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.layers import AS_OF, FEEDS, query
+from orestar_oracle.layers import AS_OF, FEEDS, query
 
 _CUSTOMER_FEED = "SELECT cst_id, cst_key, cst_firstname, cst_lastname, cst_material_status, cst_gndr, cst_create_date FROM crm_cust_info"
 
