@@ -19,6 +19,15 @@ from orestar.sources import csv_feeds, feeds
 from orestar.sources.run_log import LOADED
 from orestar.workspace import fresh_path, materialise
 
+try:
+    import corpus_pipeline
+    from orestar.llm import registry as llm
+except ModuleNotFoundError as missing:
+    # The only guard: both may be absent, and only as a whole.
+    if missing.name not in ("corpus_pipeline", "orestar.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 AS_OF = dt.date(2026, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,12 +225,13 @@ def _queries() -> dict[str, Query]:
         "report_sales_by_customer_attr": _report(reports.sales_by_customer_attribute),
         "report_sales_by_product_line": _report(reports.sales_by_product_line),
         "report_sales_by_cost": _report(reports.sales_by_cost),
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries in DuckDB SQL."""
-    return statements()
+    return statements() | (llm.oracle_sql() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
