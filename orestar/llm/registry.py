@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestar.llm import decontamination, exact_dedup, line_dedup, mixing
+from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, secret_scan, url_filter
 from orestar.llm.sql_twins import TWINS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,17 +26,34 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = line_dedup.deduplicate_lines(_table(spark, sf_dir, "documents"))
     return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, url_filter.spam_hosts(pages))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_benchmark_decontamination, op5_source_mixing, op7_line_dedup, op9_exact_dedup]
+    found = [
+        op3_benchmark_decontamination,
+        op5_source_mixing,
+        op6_secret_scan,
+        op7_line_dedup,
+        op8_url_filter,
+        op9_exact_dedup,
+    ]
     return {query.__name__: query for query in found}
 
 

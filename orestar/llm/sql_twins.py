@@ -39,6 +39,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> doc_id) AS n_drop
 FROM line LEFT JOIN first USING (key) GROUP BY doc_id
 """
 
+# The block list: hosts with an unwanted word in a label.
+OP8 = f"""
+WITH part AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), listed AS (
+  SELECT DISTINCT host AS entry FROM part
+  WHERE len(list_intersect(regexp_split_to_array(host, '[.-]'), ['adult', 'ads', 'bets', 'casino', 'pills', 'spam'])) > 0
+), named AS (
+  SELECT DISTINCT host FROM (SELECT host, unnest(string_split(host, '.')) AS label, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM part)
+  JOIN listed ON array_to_string(string_split(host, '.')[i:], '.') = entry
+), ruled AS (
+  SELECT *, ('.' || host) LIKE '%.com' AS com, ('.' || host) LIKE '%.example.com' AS example, ('.' || host) LIKE '%.www.example.com' AS www,
+         ('.' || host) LIKE '%.net' AS net FROM part
+), picked AS (
+  SELECT page_id, host, path, CASE WHEN www AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN example AND starts_with(path, '/en/') THEN 'example.com/en/' WHEN net AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN net AND starts_with(path, '/fr/') THEN 'net/fr/' WHEN com AND starts_with(path, '/') THEN 'com/' END AS rule FROM ruled
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN host IN (SELECT host FROM named) THEN 'block' ELSE 'allow' END AS verdict
+FROM picked
+"""
+
 OP9 = """
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') AS bare FROM documents
@@ -51,5 +75,6 @@ FROM t WINDOW best AS (PARTITION BY bare ORDER BY n DESC, doc_id)
 TWINS = {
     "op3_benchmark_decontamination": OP3,
     "op7_line_dedup": OP7,
+    "op8_url_filter": OP8,
     "op9_exact_dedup": OP9,
 }
