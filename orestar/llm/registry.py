@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, secret_scan, url_filter
+from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, secret_scan, toxicity, url_filter
 from orestar.llm.sql_twins import TWINS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("digest")
@@ -47,6 +51,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op2_toxicity,
         op3_benchmark_decontamination,
         op5_source_mixing,
         op6_secret_scan,
