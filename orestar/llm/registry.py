@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, secret_scan, toxicity, url_filter
+from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, secret_scan, toxicity, url_filter
 from orestar.llm.sql_twins import TWINS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The contract's shingles have two words.
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("digest")
+
+
 def queries() -> dict[str, Query]:
     found = [
         op2_toxicity,
@@ -58,6 +63,7 @@ def queries() -> dict[str, Query]:
         op7_line_dedup,
         op8_url_filter,
         op9_exact_dedup,
+        op10_minhash_near_dedup,
     ]
     return {query.__name__: query for query in found}
 

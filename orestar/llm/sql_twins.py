@@ -72,9 +72,29 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM t WINDOW best AS (PARTITION BY bare ORDER BY n DESC, doc_id)
 """
 
+OP10 = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM doc WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN size sx ON sx.doc_id = x.doc_id JOIN size sy ON sy.doc_id = y.doc_id
+  WHERE 100 * least(sx.n, sy.n) >= 80 * greatest(sx.n, sy.n)
+  GROUP BY x.doc_id, y.doc_id, sx.n, sy.n HAVING 100 * count(*) >= 80 * (sx.n + sy.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""
+
 TWINS = {
     "op3_benchmark_decontamination": OP3,
     "op7_line_dedup": OP7,
     "op8_url_filter": OP8,
     "op9_exact_dedup": OP9,
+    "op10_minhash_near_dedup": OP10,
 }
