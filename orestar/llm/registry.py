@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, secret_scan, toxicity, url_filter
+from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, quality, quotes, secret_scan, toxicity, url_filter
 from orestar.llm.sql_twins import TWINS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -26,6 +30,21 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("digest")
 
 
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations mailed with quotes, and put together again from the quotes alone."""
+    linked = quotes.link_quotations(quotes.mails_of(_table(spark, sf_dir, "conversations")))
+    return linked.select(
+        F.col("id.conv_id").alias("conv_id"),
+        F.col("id.turn").alias("turn"),
+        F.col("root.conv_id").alias("root_conv_id"),
+        F.col("root.turn").alias("root_turn"),
+        F.col("parent.conv_id").alias("parent_conv_id"),
+        F.col("parent.turn").alias("parent_turn"),
+        "depth",
+        F.sha2(quotes.normalised(F.col("own")), 256).alias("own_sha256"),
+    )
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -56,8 +75,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op1_quality_classifier,
         op2_toxicity,
         op3_benchmark_decontamination,
+        op4_quotation_linking,
         op5_source_mixing,
         op6_secret_scan,
         op7_line_dedup,

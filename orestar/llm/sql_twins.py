@@ -28,6 +28,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# What a turn quotes are the turns before it; equal words belong to the earliest turn.
+OP4 = f"""
+WITH RECURSIVE turn AS (
+  SELECT conv_id, turn, trim({_LOWER.format("regexp_replace(min(coalesce(text, '')), '[ \\x09-\\x0D]+', ' ', 'g')")}, ' ') AS said
+  FROM conversations GROUP BY conv_id, turn
+), first AS (
+  SELECT said, arg_min(conv_id, (conv_id, turn)) AS c, arg_min(turn, (conv_id, turn)) AS t FROM turn WHERE said <> '' GROUP BY said
+), quote AS (
+  SELECT x.conv_id, x.turn, l.level, f.c, f.t FROM turn x, (VALUES (1), (2)) AS l(level)
+  JOIN turn y ON y.conv_id = x.conv_id AND y.turn = x.turn - level JOIN first f ON f.said = y.said
+), parent AS (
+  SELECT conv_id, turn, arg_min(c, level) AS pc, arg_min(t, level) AS pt FROM quote GROUP BY conv_id, turn
+), thread AS (
+  SELECT conv_id, turn, conv_id AS rc, turn AS rt, 0 AS depth FROM turn WHERE (conv_id, turn) NOT IN (SELECT (conv_id, turn) FROM parent)
+  UNION ALL SELECT p.conv_id, p.turn, rc, rt, depth + 1 FROM thread JOIN parent p ON p.pc = thread.conv_id AND p.pt = thread.turn
+)
+SELECT conv_id, turn, rc AS root_conv_id, rt AS root_turn, pc AS parent_conv_id, pt AS parent_turn, depth, sha256(said) AS own_sha256
+FROM turn JOIN thread USING (conv_id, turn) LEFT JOIN parent USING (conv_id, turn)
+"""
+
 OP7 = f"""
 WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 line AS (
@@ -92,6 +112,7 @@ FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
 """
 
 TWINS = {
+    "op4_quotation_linking": OP4,
     "op3_benchmark_decontamination": OP3,
     "op7_line_dedup": OP7,
     "op8_url_filter": OP8,
