@@ -225,10 +225,15 @@ def _queries() -> dict[str, Query]:
         "report_sales_by_customer_attr": _report(reports.sales_by_customer_attribute),
         "report_sales_by_product_line": _report(reports.sales_by_product_line),
         "report_sales_by_cost": _report(reports.sales_by_cost),
-        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
+        **training_data_queries(),
     }
 
 
+def training_data_queries() -> dict[str, Query]:
+    """The queries of the subpackage that may be absent."""
+    return llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}
+
+
 def oracle_sql() -> dict[str, str]:
     """The same queries in DuckDB SQL."""
     return statements() | (llm.oracle_sql() if llm else {})

@@ -13,11 +13,14 @@ def connection(sf_dir):
     return duck(sf_dir)
 
 
+OWN = [name for name in driver.queries() if name not in driver.training_data_queries()]
+
+
 def test_every_query_has_a_twin():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert set(OWN) == driver.oracle_sql().keys() - driver.training_data_queries().keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_same_result(spark, sf_dir, connection, name):
     assert difference(driver.queries()[name](spark, sf_dir), connection, driver.oracle_sql()[name]) is None
 
