@@ -3,7 +3,7 @@
 A candidate is a long run of the characters secrets are written in. Its encoding
 is the smallest alphabet that holds it. Two questions are asked of it. Is it too
 even for ordinary text? The sum of squared letter counts is compared with what
-the letters of its own document would give, as a lower-tail p-value. And can it
+the letters of the rest of its document would give, as a lower-tail p-value. And can it
 be random? Chi-squared uniformity over the alphabet, a runs test about the
 alphabet's middle and the lag-one serial correlation must all let it pass.
 
@@ -45,6 +45,10 @@ ALPHABETS = {
 }
 _INDEX = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPHABETS.items()}
 
+# Letters of Latin-script prose in groups of falling frequency, each about half
+# as frequent as the one before.
+COMMON_LETTERS = ("eatinos", "rhldcu", "mfpgwyb", "vkxjqz")
+
 FALSE_DISCOVERIES = 0.01
 RANDOM_LEVEL = 0.001
 # p-values are counted in steps of this size of their natural logarithm.
@@ -123,9 +127,19 @@ def ordinary_ln_p(codes: np.ndarray, shares: np.ndarray) -> float:
     return math.log(max(0.5 * math.erfc(-z / math.sqrt(2)), 1e-200))
 
 
-def _shares(text: str) -> np.ndarray:
-    """Byte counts of a document, with one of each ASCII byte so that none is impossible."""
-    return np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)[:128] + 1.0
+def _counts(text: str) -> np.ndarray:
+    return np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)[:128].astype(float)
+
+
+def _usual_counts() -> np.ndarray:
+    """Some ordinary text that every document is taken to have besides its own, so that no character is impossible."""
+    counts = np.full(128, 0.05)
+    for rank, letters in enumerate(COMMON_LETTERS):
+        counts[[ord(c) for c in letters]] = 12.0 / 2**rank
+    return counts
+
+
+_USUAL = _usual_counts()
 
 
 def candidate_rows(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
@@ -142,8 +156,8 @@ def candidate_rows(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
         ln_p = 0.0
         if min(uniformity_p(codes, size), runs_p(codes, size), serial_p(codes)) >= RANDOM_LEVEL:
             if letters is None:
-                letters = _shares(text)
-            shares = letters[[ord(c) for c in ALPHABETS[name]]]
+                letters = _counts(text)
+            shares = (letters - _counts(m[0]) + _USUAL)[[ord(c) for c in ALPHABETS[name]]]
             ln_p = ordinary_ln_p(codes, shares / shares.sum())
         found.append(
             {
