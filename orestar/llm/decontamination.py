@@ -3,8 +3,9 @@
 A benchmark item becomes windows of ``WINDOW`` consecutive words. A window is a
 set of word shingles that a document has to contain whole, so its prefix under
 the rarity order is one shingle: the one with the fewest occurrences in the
-corpus. Only that shingle is joined. A match fixes where the window would start;
-length and position bounds and then the words themselves decide.
+corpus. Only that shingle is joined to find candidates. A match fixes where the
+window would start; length and position bounds and then all shingles of the
+window, each at its place and compared by its words, decide.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from orestar.workspace import materialise
 
 WINDOW = 10
 SHINGLE = 3
-# A table of windows is sent to every executor up to this size; beyond it the
-# join shuffles.
+# The benchmark's shingles are sent to every executor up to this size; beyond it
+# the join shuffles.
 BROADCAST_BYTES = 32 << 20
 # Fixed value: what separates words.
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -29,56 +30,25 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(present(text)), WORD_GAP), "")
 
 
-def _shingle_key(width: int) -> Column:
-    return F.when(F.col(f"w.{width - 1}").isNotNull(), F.xxhash64(*(F.col(f"w.{i}") for i in range(width))))
-
-
-def _zipped(words: str) -> Column:
-    """Every word with the words after it; positions past the end hold null."""
-    rest = [F.expr(f"slice({words}, {i + 1}, size({words}))") for i in range(1, SHINGLE)]
-    parts = [F.col(words), *rest]
-    return F.arrays_zip(*(p.alias(f"p{i}") for i, p in enumerate(parts))).cast(
-        "array<struct<" + ",".join(f"`{i}`:string" for i in range(SHINGLE)) + ">>"
-    )
-
-
-def _positions(docs: DataFrame, widths: list[int], *carried: str) -> DataFrame:
-    """One row per word position and width with its shingle key, and one ``is_document`` row per document."""
-    at = docs.withColumn("zipped", F.array_append(_zipped("words"), F.lit(None))).select(
-        *carried, F.posexplode("zipped").alias("pos", "w")
-    )
-    at = at.withColumn("is_document", F.col("w").isNull())
-    if len(widths) == 1:
-        keyed = at.withColumn("key", _shingle_key(widths[0])).drop("w")
-    else:
-        keys = F.when(F.col("is_document"), F.array(F.lit(None).cast("long")))
-        keys = keys.otherwise(F.array(*(_shingle_key(x) for x in widths)))
-        keyed = at.select(*carried, "pos", "is_document", F.explode(keys).alias("key"))
-    return keyed.where("is_document OR key IS NOT NULL")
-
-
 def _windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """Distinct windows with the items that have them: window_id, window, len, items."""
+    """Distinct windows with the items that have them: window (its words with spaces), words, items."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("words"))
     return (
         items.where("item IS NOT NULL AND size(words) > 0")
         .withColumn("len", F.expr(f"least({WINDOW}, size(words))"))
         .withColumn("start", F.expr("explode(sequence(1, size(words) - len + 1))"))
-        .selectExpr("item", "slice(words, start, len) AS window")
-        .groupBy("window")
+        .selectExpr("item", "slice(words, start, len) AS words")
+        .groupBy(F.array_join("words", " ").alias("window"), "words")
         .agg(F.collect_set("item").alias("items"))
-        .withColumn("window_id", F.xxhash64("window"))
-        .withColumn("len", F.size("window"))
     )
 
 
 def _window_shingles(windows: DataFrame) -> DataFrame:
-    """Every shingle of every window with its offset."""
-    parts = windows.withColumn("width", F.expr(f"least({SHINGLE}, len)")).select(
-        "window", "width", F.posexplode(_zipped("window")).alias("offset", "w")
-    )
-    key = F.coalesce(*(F.when(F.col("width") == x, _shingle_key(x)) for x in range(1, SHINGLE + 1)))
-    return parts.withColumn("key", key).where("key IS NOT NULL").select("window", "offset", "key")
+    """Every shingle of every window: window, offset, shingle (its words with spaces), width."""
+    width = F.least(F.lit(SHINGLE), F.size("words"))
+    starts = F.expr(f"sequence(1, size(words) - least({SHINGLE}, size(words)) + 1)")
+    placed = windows.select("window", "words", width.alias("width"), F.posexplode(starts).alias("offset", "start"))
+    return placed.select("window", "offset", F.expr("array_join(slice(words, start, width), ' ')").alias("shingle"), "width")
 
 
 def _fits(df: DataFrame, limit: int) -> bool:
@@ -87,71 +57,76 @@ def _fits(df: DataFrame, limit: int) -> bool:
     return (df.select(F.sum(per_row).alias("bytes")).first().bytes or 0) <= limit
 
 
-def _with_rarest(windows: DataFrame, positions: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """Windows that may occur at all, each with its rarest shingle and that one's offset."""
-    shingles = materialise(_window_shingles(windows), "window_shingles")
-    keys = shingles.select("key").distinct()
-    small = F.broadcast(keys) if _fits(keys, broadcast_bytes) else keys
-    frequency = positions.join(small, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    # A window with a shingle that occurs nowhere leaves the inner join short of rows.
-    need = shingles.groupBy("window").agg(F.count(F.lit(1)).alias("need"))
-    rarest = (
-        shingles.join(frequency, "key")
-        .groupBy("window")
-        .agg(F.min(F.struct("n", "offset", "key")).alias("rarest"), F.count(F.lit(1)).alias("have"))
-        .join(need, "window")
-        .where("have = need")
-    )
-    return windows.join(rarest, "window").select(
-        F.col("rarest.key").alias("key"), F.col("rarest.offset").alias("offset"), "window", "len", "items"
-    )
-
+def _key_at(width: int) -> Column:
+    """Hash of the shingle that begins at ``pos``; null past the end."""
+    parts = [F.expr(f"get(words, pos + {i})") for i in range(width)]
+    return F.when(parts[-1].isNotNull(), F.xxhash64(*parts))
 
-def _starts_inside() -> Column:
-    return (F.col("pos") >= F.col("offset")) & (F.col("pos") - F.col("offset") + F.col("len") <= F.col("n_words"))
 
+def _shingles_met(docs: DataFrame, shingles: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """One row per document (shingle null), and one per place in it where a benchmark shingle stands.
 
-_SAME_WORDS = "slice(words, pos - offset + 1, len) = window"
-_SPAN = "struct(pos - offset AS start, len AS len)"
-
-
-def _hits_by_broadcast(docs: DataFrame, widths: list[int], keyed: DataFrame) -> DataFrame:
-    """Windows in documents, checked in the task that reads the document; plus one row per document."""
-    at = _positions(docs, widths, "doc_id", "digest", "n_words", "words")
-    keyed = F.broadcast(keyed.withColumnRenamed("key", "window_key"))
-    met = at.join(keyed, at["key"] == keyed["window_key"], "left")
-    hit = F.coalesce(_starts_inside() & F.expr(_SAME_WORDS), F.lit(False))
-    return met.withColumn("hit", hit).where("hit OR is_document").select(
-        "doc_id", "digest", "n_words", "is_document",
-        F.when(F.col("hit"), F.expr(_SPAN)).alias("span"), F.when(F.col("hit"), F.col("items")).alias("items"),
+    A hash finds the place, the words themselves confirm it.
+    """
+    widths = sorted(r.width for r in shingles.select("width").distinct().collect())
+    own = ["doc_id", "digest", "n_words"]
+    key = F.coalesce(*(F.when(F.col("width") == x, F.xxhash64(*(F.expr(f"get(split(shingle, ' '), {i})") for i in range(x)))) for x in widths or [SHINGLE]))
+    known = materialise(shingles.select("shingle", "width", key.alias("known_key")), "benchmark_shingles")
+    small = _fits(known, broadcast_bytes)
+    # Position n_words is past the last word and stands for the document itself.
+    at = docs.select(*own, "words", F.explode(F.expr("sequence(0, n_words)")).alias("pos"))
+    if len(widths) == 1:
+        at = at.withColumn("key", _key_at(widths[0])).withColumn("width_at", F.lit(widths[0]))
+    else:
+        keys = F.array(*(F.struct(F.lit(x).alias("width_at"), _key_at(x).alias("key")) for x in widths or [SHINGLE]))
+        at = at.select(*own, "words", "pos", F.inline(F.when(F.col("pos") == F.col("n_words"), F.slice(keys, 1, 1)).otherwise(keys)))
+    confirmed = F.expr("array_join(slice(words, pos + 1, width_at), ' ') = shingle")
+    if small:
+        met = at.join(F.broadcast(known), at["key"] == known["known_key"], "left").where(
+            (F.col("pos") == F.col("n_words")) | F.coalesce(confirmed, F.lit(False))
+        )
+        return met.select(*own, "pos", "shingle")
+    text = F.expr("array_join(slice(words, pos + 1, width_at), ' ')")
+    places = at.where("key IS NOT NULL").select(*own, "pos", "key", text.alias("text"))
+    met = places.join(known, (places["key"] == known["known_key"]) & (places["text"] == known["shingle"]))
+    documents = docs.select(*own, F.col("n_words").alias("pos"), F.lit(None).cast("string").alias("shingle"))
+    return met.select(*own, "pos", "shingle").unionAll(documents)
+
+
+def _occurrences(met: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Where windows occur: doc_id, digest, start, window."""
+    frequency = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    # A window with a shingle that occurs nowhere is left out by the count.
+    rarest = (
+        shingles.join(frequency, "shingle", "left")
+        .groupBy("window")
+        .agg(
+            F.min(F.struct("n", "offset", "shingle")).alias("rarest"),
+            F.count(F.lit(1)).alias("needed"),
+            F.count("n").alias("seen"),
+            F.max(F.col("offset") + F.col("width")).alias("len"),
+        )
+        .where("needed = seen")
+        .select("window", "needed", "len", F.col("rarest.offset").alias("offset"), F.col("rarest.shingle").alias("shingle"))
     )
-
-
-def _hits_by_shuffle(docs: DataFrame, widths: list[int], keyed: DataFrame) -> DataFrame:
-    """The same rows without a broadcast: places meet windows by key, then their document by id."""
-    at = _positions(docs, widths, "doc_id", "digest", "n_words")
-    places = (
-        at.where("NOT is_document").join(keyed, "key").where(_starts_inside())
-        .groupBy("doc_id", "digest")
-        .agg(F.collect_set(F.struct("pos", "offset", "len", "window", "items")).alias("places"))
-        .withColumnsRenamed({"doc_id": "place_id", "digest": "place_digest"})
+    candidates = (
+        met.join(materialise(rarest, "rarest"), "shingle")
+        .withColumn("start", F.col("pos") - F.col("offset"))
+        .where("start >= 0 AND start + len <= n_words")
+        .select("doc_id", "digest", "start", "window", "needed")
+        .distinct()
     )
-    met = docs.join(places, same(docs["doc_id"], places["place_id"]) & (docs["digest"] == places["place_digest"]), "left")
-    sentinel = met.select(
-        "doc_id", "digest", "n_words", F.lit(True).alias("is_document"),
-        F.explode(
-            F.concat(
-                F.array(F.lit(None).cast("struct<span:struct<start:int,len:int>,items:array<string>>")),
-                F.expr(
-                    "transform(filter(coalesce(places, array()), p -> slice(words, p.pos - p.offset + 1, p.len) = p.window),"
-                    " p -> struct(struct(p.pos - p.offset AS start, p.len AS len) AS span, p.items AS items))"
-                ),
-            )
-        ).alias("found"),
+    expected = candidates.join(shingles.select("window", "offset", F.col("shingle").alias("due")), "window")
+    expected = expected.withColumn("due_pos", F.col("start") + F.col("offset")).withColumnsRenamed(
+        {"doc_id": "due_id", "digest": "due_digest"}
     )
-    return sentinel.select(
-        "doc_id", "digest", "n_words", F.col("found").isNull().alias("is_document"), "found.span", "found.items"
+    there = expected.join(
+        met,
+        same(expected["due_id"], met["doc_id"]) & (expected["due_digest"] == met["digest"])
+        & (expected["due_pos"] == met["pos"]) & (expected["due"] == met["shingle"]),
     )
+    whole = there.groupBy("doc_id", "digest", "start", "window", "needed").agg(F.count_distinct("offset").alias("have"))
+    return whole.where("have = needed").select("doc_id", "digest", "start", "window")
 
 
 def contamination(
@@ -166,9 +141,9 @@ def contamination(
     """One row per row of ``docs``: doc_id, digest, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A word is hit if it lies inside an occurrence of a window. The corpus counts
-    that order the shingles, the search and the check all cover whole texts.
-    Windows are broadcast if they are measured to fit, and shuffled otherwise;
-    both ways give the same rows.
+    that order the shingles, the search and the check all cover whole texts,
+    which are read once. The shingles of the benchmark are broadcast if they are
+    measured to fit, and shuffled otherwise; both ways give the same rows.
 
     Null and empty texts have no words and are clean. Items without words, or
     without an id, match nothing; items of one text are all counted. Repeated
@@ -177,39 +152,38 @@ def contamination(
     prepared = docs.select(
         F.col(id_col).alias("doc_id"), row_digest(F.col(text_col)).alias("digest"), words_of(F.col(text_col)).alias("words")
     ).withColumn("n_words", F.size("words"))
-    windows = materialise(_windows(benchmark, item_col, item_text_col), "windows").drop("window_id")
-    widths = sorted(r.width for r in windows.select(F.expr(f"least({SHINGLE}, len) AS width")).distinct().collect())
-    widths = widths or [SHINGLE]
-    counted = _positions(prepared, widths).where("NOT is_document")
-    keyed = materialise(_with_rarest(windows, counted, broadcast_bytes), "rarest")
-    join = _hits_by_broadcast if _fits(keyed, broadcast_bytes) else _hits_by_shuffle
-    return (
-        join(prepared, widths, keyed)
+    windows = materialise(_windows(benchmark, item_col, item_text_col), "windows")
+    shingles = materialise(_window_shingles(windows), "window_shingles")
+    met = materialise(_shingles_met(prepared, shingles.select("shingle", "width").distinct(), broadcast_bytes), "shingles_met")
+    found = _occurrences(met.where("shingle IS NOT NULL"), shingles)
+    hits = (
+        found.join(windows, "window")
         .groupBy("doc_id", "digest")
         .agg(
-            F.max("n_words").cast("long").alias("n_words"),
-            F.count_if("is_document").alias("copies"),
-            F.array_sort(F.collect_set("span")).alias("spans"),
+            F.array_sort(F.collect_set(F.struct("start", F.size("words").alias("len")))).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
         # Spans sorted by start: each adds what lies beyond the furthest end so far.
         .withColumn(
-            "n_hit",
+            "hit",
             F.expr(
                 "aggregate(spans, struct(0 AS upto, 0L AS n), (s, x) -> struct(greatest(s.upto, x.start + x.len) AS upto,"
                 " s.n + greatest(0, x.start + x.len - greatest(s.upto, x.start)) AS n), s -> s.n)"
             ),
         )
-        .withColumn("copy", F.expr("explode(sequence(1L, copies))"))
-        .select(
-            "doc_id",
-            "digest",
-            "n_words",
-            "n_hit",
-            F.size("items").cast("long").alias("n_items"),
-            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-            (F.col("n_hit") > 0).alias("contaminated"),
-        )
+        .select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"), "hit", "items")
+    )
+    documents = met.where("shingle IS NULL").select("doc_id", "digest", F.col("n_words").cast("long").alias("n_words"))
+    met_hits = documents.join(hits, same(documents["doc_id"], hits["hit_id"]) & (documents["digest"] == hits["hit_digest"]), "left")
+    n_hit = F.coalesce("hit", F.lit(0).cast("long"))
+    return met_hits.select(
+        "doc_id",
+        "digest",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.coalesce(F.array_size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
     )
 
 
