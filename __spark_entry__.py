@@ -118,7 +118,10 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _join_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _silver(spark, sf_dir)
+    return _guards(_silver(spark, sf_dir))
+
+
+def _guards(tables: Layer) -> DataFrame:
     current = tables["crm_prd_info"].where("prd_end_dt IS NULL")
     customers, sales = tables["crm_cust_info"], tables["crm_sales_details"]
     return union_all(
@@ -132,6 +135,39 @@ def _join_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _repeats(spark: SparkSession, sf_dir: str) -> tuple[Layer, Layer]:
+    """Raw and silver with repeated master data; all ERP people, so that known customers meet their repeats."""
+    raw = feeds.raw_layer_with_repeats(spark, sf_dir)
+    return raw, silver.silver_layer(raw, AS_OF, "all")
+
+
+def _point_in_time_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tables = _repeats(spark, sf_dir)
+    return reports.sales_point_in_time(tables["crm_sales_details"], tables["crm_prd_info"])
+
+
+def _stored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 over a customer table into which all CRM records were loaded, newest or not."""
+    return checks.duplicate_keys(feeds.customer_feed(spark, sf_dir), "cst_id", report_null=False)
+
+
+def _unlisted_by(listed: Callable[[DataFrame], DataFrame]) -> Query:
+    """V4 against another list of categories."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = feeds.raw_layer(spark, sf_dir)
+        return checks.missing_categories(raw.replaced(erp_pc_cat_g1v2=listed(raw["erp_pc_cat_g1v2"])), raw)
+
+    return run
+
+
+def _sample_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V13 for two chosen products."""
+    raw = feeds.raw_layer(spark, sf_dir)
+    chosen = raw["crm_prd_info"].select("prd_key").distinct().orderBy("prd_key").limit(2)
+    return checks.validity_preview(raw, chosen)
+
+
 def _silver_query(table: str, erp_scope: str = "new_only") -> Query:
     return lambda spark, sf_dir: _silver(spark, sf_dir, erp_scope)[table]
 
@@ -214,6 +250,11 @@ def _queries() -> dict[str, Query]:
             _fact(spark, sf_dir), _dimension(spark, sf_dir, "customers"), "customer_key"
         ),
         "gold_join_guard": _join_guard,
+        "gold_join_guard_repeats": lambda spark, sf_dir: _guards(_repeats(spark, sf_dir)[1]),
+        "check_v2_stored_repeats": _stored_repeats,
+        "check_v4_null_listed": _unlisted_by(lambda c: c.selectExpr("nullif(id, 'LA_B1') AS id")),
+        "check_v4_empty_list": _unlisted_by(lambda c: c.where("length(id) > 50")),
+        "check_v13_sample": _sample_preview,
         "report_sales_by_country": _report(reports.sales_by_country),
         "report_revenue_by_category": _report(reports.revenue_by_category),
         "report_sales_trend": _report(reports.sales_trend),
@@ -222,6 +263,7 @@ def _queries() -> dict[str, Query]:
         "report_products": _report(reports.products),
         "report_products_top": _report(reports.top_products),
         "fact_sales_point_in_time": _point_in_time,
+        "fact_sales_point_in_time_overlaps": _point_in_time_overlaps,
         "report_sales_by_customer_attr": _report(reports.sales_by_customer_attribute),
         "report_sales_by_product_line": _report(reports.sales_by_product_line),
         "report_sales_by_cost": _report(reports.sales_by_cost),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestar.functions import cleansing as c
-from orestar.operators.anti_join import anti_join_null_aware
+from orestar.operators.anti_join import anti_join_null_aware, few_copies
 from orestar.operators.quality import (
     FAIL, INFO, WARN, Check, metric_rows, run_checks, union_all, value_counts,
 )
@@ -168,10 +168,15 @@ def never_sold(bronze: Tables, silver: Tables) -> DataFrame:
     )
 
 
-def validity_preview(bronze: Tables, keys: Sequence[str] = ()) -> DataFrame:
-    """Each product version with the start of the next one; of ``keys`` or of all products."""
+def validity_preview(bronze: Tables, keys: Sequence[str] | DataFrame = ()) -> DataFrame:
+    """Each product version with the start of the next one; of the chosen products or of all.
+
+    ``keys`` are product keys or a table with a ``prd_key`` column.
+    """
     versions = bronze["crm_prd_info"]
-    if keys:
+    if isinstance(keys, DataFrame):
+        versions = versions.join(few_copies(keys, "prd_key"), F.expr("prd_key = listed_key"), "left_semi")
+    elif keys:
         versions = versions.where(F.col("prd_key").isin(*keys))
     dated = versions.selectExpr("prd_key", "prd_start_dt", "prd_id", "prd_end_dt", "CAST(prd_start_dt AS date) AS start_day")
     return with_next(dated, "prd_key", "prd_start_dt", out="next_start_dt", day="start_day").drop("start_day")
@@ -179,7 +184,8 @@ def validity_preview(bronze: Tables, keys: Sequence[str] = ()) -> DataFrame:
 
 def already_in_crm(bronze: Tables, silver: Tables) -> DataFrame:
     people = bronze["erp_cust_az12"].groupBy(F.expr(f"{c.erp_customer_key('cid')} AS cst_key"))
-    known = people.agg(F.expr("count(*) AS n")).join(silver["crm_cust_info"], "cst_key", "left_semi")
+    customers = few_copies(silver["crm_cust_info"], "cst_key")
+    known = people.agg(F.expr("count(*) AS n")).join(customers, F.expr("cst_key = listed_key"), "left_semi")
     return metric_rows(
         known.selectExpr("coalesce(sum(n), 0) AS duplicate_count"), "v20", "bronze.erp_cust_az12"
     )
@@ -204,7 +210,8 @@ def customer_overlap(bronze: Tables, silver: Tables) -> DataFrame:
 
 def uncategorised_products(bronze: Tables, silver: Tables) -> DataFrame:
     per_category = silver["crm_prd_info"].groupBy("cat_id").agg(F.expr("count(*) AS n"))
-    missing = per_category.join(silver["erp_pc_cat_g1v2"], F.expr("cat_id = id"), "left_anti")
+    listed = few_copies(silver["erp_pc_cat_g1v2"], "id")
+    missing = per_category.join(listed, F.expr("cat_id = listed_key"), "left_anti")
     return metric_rows(
         missing.selectExpr("coalesce(sum(n), 0) AS products_without_valid_category"),
         "v32", "silver.crm_prd_info", FAIL,
@@ -216,7 +223,7 @@ def unknown_references(
 ) -> DataFrame:
     """Distinct keys in sales that no master record has; reduced to keys before the join."""
     used = sales.where(f"{key} IS NOT NULL").selectExpr(f"{key} AS used_key").distinct()
-    missing = used.join(known, F.expr(f"used_key = {known_key}"), "left_anti")
+    missing = used.join(few_copies(known, known_key), F.expr("used_key = listed_key"), "left_anti")
     return metric_rows(missing.selectExpr(f"count(*) AS {metric}"), check_id, "silver.crm_sales_details", FAIL)
 
 

@@ -54,9 +54,12 @@ def customers(star: DataFrame) -> DataFrame:
 
 
 def products(star: DataFrame) -> DataFrame:
-    known = star.where("product_key IS NOT NULL")
+    """Sales are summed per product, order and customer first; only those sums are told apart twice."""
     by = ["product_key", "product_number", "product_name"]
-    return _summary(known, by, "count(DISTINCT customer_key) AS buyers").selectExpr(
+    cells = star.where("product_key IS NOT NULL").groupBy(*by, "order_number", "customer_key").agg(
+        F.expr("sum(sales_amount) AS sales_amount"), F.expr("sum(quantity) AS quantity")
+    )
+    return _summary(cells, by, "count(DISTINCT customer_key) AS buyers").selectExpr(
         "*", "CAST(total_sales AS double) / nullif(units, 0) AS avg_price"
     )
 
@@ -86,24 +89,30 @@ def sales_by_cost(star: DataFrame, band: int = 100) -> DataFrame:
     return _summary(star.selectExpr("*", f"floor(cost / {band}) * {band} AS cost_from"), ["cost_from"])
 
 
-def sales_point_in_time(sales: DataFrame, versions: DataFrame, few: int = 64) -> DataFrame:
-    """Every sale with the product version, and so the cost, valid on its order date.
+def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
+    """Every sale with each product version, and so the cost, valid on its order date.
 
-    ``versions`` are silver products, whose periods do not overlap within one
-    product of one category. If no product number has more than ``few``
-    versions (counted first), sales join on the number and the period decides
-    among those few. Otherwise the version is looked up once per product and day.
+    The days a product was sold on are matched with the months its versions were
+    valid in, and the period decides within the month; a sale then looks its day
+    up. Days and months are bounded by the calendar, so no sale is ever compared
+    with the other versions of its product. Versions whose periods overlap give
+    a row each, as the join on the period itself would.
     """
-    valid = versions.where(
-        "prd_start_dt IS NOT NULL AND (prd_end_dt IS NULL OR prd_end_dt >= prd_start_dt)"
-    ).select("prd_key", "cat_id", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost")
-    if (most_versions(valid) or 0) <= few:
-        found = valid
-        on_day = "sls_prd_key = prd_key AND sls_order_dt >= prd_start_dt AND coalesce(sls_order_dt <= prd_end_dt, true)"
-    else:
-        found = versions_by_day(sales, valid)
-        on_day = "sls_prd_key = prd_key AND sls_order_dt = day"
-    return sales.join(found, F.expr(on_day), "left").selectExpr(
+    span = sales.selectExpr("struct(min(sls_order_dt) AS first_day, max(sls_order_dt) AS last_day)").scalar()
+    valid = versions.selectExpr("prd_key", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost").withColumns(
+        {
+            "from_day": F.greatest("prd_start_dt", span.getField("first_day")),
+            "to_day": F.least(F.coalesce("prd_end_dt", span.getField("last_day")), span.getField("last_day")),
+        }
+    )
+    # A version that ends before it starts, or lies outside all sales, has no month.
+    months = valid.where("prd_start_dt IS NOT NULL AND from_day <= to_day").selectExpr(
+        "*", "explode(sequence(trunc(from_day, 'MM'), trunc(to_day, 'MM'), INTERVAL 1 MONTH)) AS valid_month"
+    )
+    sold = sales.where("sls_order_dt IS NOT NULL").selectExpr("sls_prd_key AS sold_key", "sls_order_dt AS day").distinct()
+    on_day = "prd_key = sold_key AND valid_month = trunc(day, 'MM') AND day BETWEEN from_day AND to_day"
+    found = sold.join(months, F.expr(on_day)).select("sold_key", "day", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost")
+    return sales.join(found, F.expr("sls_prd_key = sold_key AND sls_order_dt = day"), "left").selectExpr(
         "sls_ord_num AS order_number",
         "sls_prd_key",
         "sls_order_dt AS order_date",
@@ -114,29 +123,3 @@ def sales_point_in_time(sales: DataFrame, versions: DataFrame, few: int = 64) ->
         "prd_end_dt AS version_end",
         "prd_cost AS cost_at_sale",
     )
-
-
-def most_versions(versions: DataFrame) -> int | None:
-    return versions.groupBy("prd_key").agg(F.expr("count(*) AS n")).selectExpr("max(n)").first()[0]
-
-
-def versions_by_day(sales: DataFrame, valid: DataFrame) -> DataFrame:
-    """The version of each product for every day it was sold on.
-
-    Days and version starts form one timeline per product, which the calendar
-    bounds; each day takes the last version started by then. No sale is ever
-    compared with the other versions of its product.
-    """
-    started = valid.selectExpr(
-        "prd_key", "cat_id", "prd_start_dt AS day", "false AS sold",
-        "struct(prd_id, prd_start_dt, prd_end_dt, prd_cost) AS version",
-    )
-    days = sales.selectExpr("sls_prd_key AS prd_key", "sls_order_dt AS day").distinct()
-    sold = days.join(valid.select("prd_key", "cat_id").distinct(), "prd_key").where("day IS NOT NULL")
-    timeline = started.unionByName(sold.selectExpr("prd_key", "cat_id", "day", "true AS sold", "NULL AS version"))
-    by_then = "OVER (PARTITION BY prd_key, cat_id ORDER BY day, sold ROWS UNBOUNDED PRECEDING)"
-    return (
-        timeline.selectExpr("prd_key", "day", "sold", f"last(version, true) {by_then} AS version")
-        .where("sold AND version IS NOT NULL AND coalesce(day <= version.prd_end_dt, true)")
-        .selectExpr("prd_key", "day", "version.*")
-    )

@@ -9,7 +9,7 @@ BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 TEXT_WIDTH = 50
 AUDIT_COLUMN = "dwh_create_date"
 
-_INT, _TEXT, _DATE = T.IntegerType(), T.StringType(), T.DateType()
+_ID, _INT, _TEXT, _DATE = T.LongType(), T.IntegerType(), T.StringType(), T.DateType()
 _DATETIME = T.TimestampNTZType()  # the source's date-times carry no zone
 
 
@@ -19,15 +19,15 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 RAW = {
     "crm_cust_info": _struct(
-        cst_id=_INT, cst_key=_TEXT, cst_firstname=_TEXT, cst_lastname=_TEXT,
+        cst_id=_ID, cst_key=_TEXT, cst_firstname=_TEXT, cst_lastname=_TEXT,
         cst_material_status=_TEXT, cst_gndr=_TEXT, cst_create_date=_DATE,
     ),
     "crm_prd_info": _struct(
-        prd_id=_INT, prd_key=_TEXT, prd_nm=_TEXT, prd_cost=_INT, prd_line=_TEXT,
+        prd_id=_ID, prd_key=_TEXT, prd_nm=_TEXT, prd_cost=_INT, prd_line=_TEXT,
         prd_start_dt=_DATETIME, prd_end_dt=_DATETIME,
     ),
     "crm_sales_details": _struct(
-        sls_ord_num=_TEXT, sls_prd_key=_TEXT, sls_cust_id=_INT, sls_order_dt=_INT,
+        sls_ord_num=_TEXT, sls_prd_key=_TEXT, sls_cust_id=_ID, sls_order_dt=_INT,
         sls_ship_dt=_INT, sls_due_dt=_INT, sls_sales=_INT, sls_quantity=_INT, sls_price=_INT,
     ),
     "erp_cust_az12": _struct(cid=_TEXT, bdate=_DATE, gen=_TEXT),

@@ -28,7 +28,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _padded(column: str, width: int) -> str:
-    return f"lpad(CAST({column} AS string), {width}, '0')"
+    """At least ``width`` digits; longer numbers stay whole."""
+    digits = f"CAST({column} AS string)"
+    return f"lpad({digits}, greatest({width}, length({digits})), '0')"
 
 
 def _cycle(number: str, *values: str | None) -> str:
@@ -78,17 +80,17 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One to three dated versions of every part."""
+    """One to three dated versions of every part; some ids missing or used twice, some versions on one day."""
     parts = _table(spark, sf_dir, "part")
     return _typed(
         parts.selectExpr("*", "explode(sequence(0, CAST(2 - p_partkey % 3 AS int))) AS v"),
         "crm_prd_info",
-        prd_id="p_partkey * 3 + v",
+        prd_id="CASE WHEN p_partkey % 89 = 5 THEN NULL WHEN p_partkey % 61 = 7 THEN p_partkey * 3 - 3 + v ELSE p_partkey * 3 + v END",
         prd_key=f"concat(upper(left(p_type, 2)), '-B', right(p_brand, 1), '-P', {_padded('p_partkey', 7)})",
         prd_nm="p_name",
         prd_cost="CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN -1 ELSE floor(p_retailprice) + v END",
         prd_line=_cycle("p_size", "M ", "r", "S", "t", "X", None),
-        prd_start_dt="date_add(DATE '1995-01-01', CAST(p_partkey % 100 + v * 700 AS int))",
+        prd_start_dt="date_add(DATE '1995-01-01', CAST(p_partkey % 100 + if(p_partkey % 47 = 11, 0, v * 700) AS int))",
         prd_end_dt="CASE WHEN v = 0 AND p_partkey % 3 < 2 THEN DATE '1994-06-01' END",
     )
 
@@ -109,12 +111,12 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "crm_sales_details",
         sls_ord_num="concat('SO', l_orderkey)",
         sls_prd_key=f"CASE WHEN l_orderkey % 211 = 0 OR l_partkey % 37 = 0 THEN 'ZZ-UNKNOWN' ELSE concat('P', {_padded('l_partkey', 7)}) END",
-        sls_cust_id="o_custkey + CASE WHEN l_orderkey % 101 = 0 THEN 10000000 ELSE 0 END",
+        sls_cust_id="CASE WHEN l_orderkey % 101 = 0 THEN -1 - o_custkey ELSE o_custkey END",
         sls_order_dt=f"CASE WHEN l_orderkey % 50 = 0 THEN 0 WHEN l_orderkey % 53 = 0 THEN 32154 WHEN l_orderkey % 61 = 0 THEN 20991231 ELSE {_int_date('o_orderdate')} END",
         sls_ship_dt=_int_date("shipped"),
         sls_due_dt=f"CASE WHEN l_orderkey % 59 <> 0 THEN {_int_date('date_add(shipped, 12)')} END",
         sls_sales="CASE WHEN l_partkey % 17 = 0 THEN NULL WHEN l_partkey % 19 = 0 THEN 0 WHEN l_partkey % 23 = 0 THEN q * p + 7 ELSE q * p END",
-        sls_quantity="CASE WHEN l_partkey % 41 = 0 THEN 0 ELSE q END",
+        sls_quantity="CASE WHEN l_partkey % 41 = 0 THEN 0 WHEN l_partkey % 43 = 0 THEN NULL ELSE q END",
         sls_price="CASE WHEN l_partkey % 29 = 0 THEN NULL WHEN l_partkey % 31 = 0 THEN -p ELSE p END",
     )
 
@@ -157,8 +159,8 @@ def category_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "erp_pc_cat_g1v2",
         id="concat(upper(left(p_type, 2)), '_B', digit)",
         cat="CASE WHEN p_type = 'LARGE' THEN concat(' ', p_type) ELSE p_type END",
-        subcat="concat('Brand', digit)",
-        maintenance="CASE WHEN digit IN ('0', '2', '4') THEN 'Yes' ELSE 'No' END",
+        subcat="concat('Brand', digit, if(digit = '1', ' ', ''))",
+        maintenance="CASE WHEN digit = '2' THEN ' Yes' WHEN digit IN ('0', '4') THEN 'Yes' ELSE 'No' END",
     )
 
 
@@ -178,3 +180,25 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
     return Layer({table: lambda feed=feed: feed(spark, sf_dir) for table, feed in _FEEDS.items()})
+
+
+def raw_layer_with_repeats(spark: SparkSession, sf_dir: str) -> Layer:
+    """The feeds with ids that master data must not repeat, and product versions that overlap.
+
+    One ERP person and place in fifty comes twice, every third category has a
+    second row, and one part in nine has a version under a second spelling of its
+    key, which the cleaning takes for the same product of the same category.
+    """
+    layer = raw_layer(spark, sf_dir)
+    people, places = layer["erp_cust_az12"], layer["erp_loc_a101"]
+    categories, products = layer["erp_pc_cat_g1v2"], layer["crm_prd_info"]
+    digits = "CAST(right(cid, 2) AS int) % 50 = 0"
+    spelled = products.where("CAST(substr(prd_key, 8) AS bigint) % 9 = 4 AND prd_start_dt IS NOT NULL").selectExpr(
+        *[f"concat(left(prd_key, 2), '_', substr(prd_key, 4)) AS {c}" if c == "prd_key" else c for c in products.columns]
+    )
+    return layer.replaced(
+        erp_cust_az12=people.unionByName(people.where(digits)),
+        erp_loc_a101=places.unionByName(places.where(digits)),
+        erp_pc_cat_g1v2=categories.unionByName(categories.where("right(id, 1) IN ('0', '3', '6')")),
+        crm_prd_info=products.unionByName(spelled),
+    )

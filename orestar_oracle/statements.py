@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orestar_oracle.layers import AS_OF, FEEDS, query
+from orestar_oracle.layers import AS_OF, FEEDS, REPEATED, query
 
 _CUSTOMER_FEED = "SELECT cst_id, cst_key, cst_firstname, cst_lastname, cst_material_status, cst_gndr, cst_create_date FROM crm_cust_info"
 
@@ -144,7 +144,7 @@ LISTINGS = {
     "v11": "SELECT DISTINCT prd_line FROM silver_products",
     "v12": _counts("silver_products", prd_line="Product Line Distribution"),
     "v13": """SELECT prd_key, prd_start_dt, prd_id, prd_end_dt,
- lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id NULLS FIRST) AS next_start_dt
+ lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id NULLS FIRST, prd_end_dt NULLS FIRST) AS next_start_dt
 FROM crm_prd_info""",
     "v23": "SELECT DISTINCT gen, 'Standardized' AS status FROM silver_new_people",
     "v24": _counts("silver_new_people", gen="Gender Distribution"),
@@ -179,6 +179,22 @@ _PRODUCTS = f"""SELECT product_key, product_number, product_name, count(DISTINCT
 FROM sales_star WHERE product_key IS NOT NULL GROUP BY ALL"""
 _COST = "CAST(quantity AS BIGINT) * cost"
 
+
+def _guard(people: str) -> str:
+    """Rows of each join less the rows on its left."""
+    joins = {
+        "customer_demographics": ("silver_customers", f"{people} r ON cst_key = r.cid"),
+        "customer_location": ("silver_customers", "silver_locations r ON cst_key = r.cid"),
+        "product_category": ("(SELECT * FROM silver_products WHERE prd_end_dt IS NULL)", "silver_categories r ON cat_id = r.id"),
+        "sales_product": ("silver_sales", "(SELECT * FROM silver_products WHERE prd_end_dt IS NULL) r ON sls_prd_key = r.prd_key"),
+        "sales_customer": ("silver_sales", "silver_customers r ON sls_cust_id = r.cst_id"),
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS join_name, (SELECT count(*) FROM {left} LEFT JOIN {right}) - (SELECT count(*) FROM {left}) AS extra_rows"
+        for name, (left, right) in joins.items()
+    )
+
+
 _GOLD_AND_REPORTS = {
     "gold_surrogate_keys": """SELECT 'customer' AS dimension, customer_key AS surrogate, customer_id AS business_id FROM dim_customers
 UNION ALL SELECT 'product', product_key, product_id FROM dim_products""",
@@ -186,18 +202,9 @@ UNION ALL SELECT 'product', product_key, product_id FROM dim_products""",
     "gold_dim_customers_enriched": "SELECT * FROM dim_customers_enriched",
     "gold_dim_products": "SELECT * FROM dim_products",
     "gold_fact_sales": "SELECT * FROM fact_sales",
-    "gold_fk_check": "SELECT f.* FROM fact_sales f LEFT JOIN dim_products p USING (product_key) WHERE p.product_id IS NULL",
+    "gold_fk_check": "SELECT f.* FROM fact_sales f WHERE NOT EXISTS (FROM dim_products p WHERE p.product_key = f.product_key)",
     "gold_fk_check_customer": "SELECT f.* FROM fact_sales f LEFT JOIN dim_customers c USING (customer_key) WHERE c.customer_id IS NULL",
-    "gold_join_guard": """SELECT 'customer_demographics' AS join_name,
- (SELECT count(*) FROM silver_customers LEFT JOIN silver_new_people ON cst_key = cid) - (SELECT count(*) FROM silver_customers) AS extra_rows
-UNION ALL SELECT 'customer_location',
- (SELECT count(*) FROM silver_customers LEFT JOIN silver_locations ON cst_key = cid) - (SELECT count(*) FROM silver_customers)
-UNION ALL SELECT 'product_category',
- (SELECT count(*) FROM silver_products LEFT JOIN silver_categories ON cat_id = id WHERE prd_end_dt IS NULL) - (SELECT count(*) FROM silver_products WHERE prd_end_dt IS NULL)
-UNION ALL SELECT 'sales_product',
- (SELECT count(*) FROM silver_sales LEFT JOIN dim_products ON sls_prd_key = product_number) - (SELECT count(*) FROM silver_sales)
-UNION ALL SELECT 'sales_customer',
- (SELECT count(*) FROM silver_sales LEFT JOIN dim_customers ON sls_cust_id = customer_id) - (SELECT count(*) FROM silver_sales)""",
+    "gold_join_guard": _guard("silver_new_people"),
     "report_sales_by_country": f"SELECT country, {_MEASURES} FROM sales_star GROUP BY country",
     "report_revenue_by_category": f"SELECT category, subcategory, {_MEASURES} FROM sales_star GROUP BY ALL",
     "report_sales_trend": f"""SELECT *, CAST(sum(total_sales) OVER (ORDER BY order_year NULLS FIRST, order_month NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_sales
@@ -260,6 +267,18 @@ def statements() -> dict[str, str]:
     plain["check_v22_all"] = _by_rule("v22", "silver.erp_cust_az12", "silver_people", _BIRTH_RULES)
     plain["check_v24_all"] = _counts("silver_people", gen="Gender Distribution")
     plain["check_v31_all"] = _overlap("silver_people")
+    plain["check_v2_stored_repeats"] = "SELECT cst_id, count(*) AS duplicate_count FROM crm_cust_info GROUP BY cst_id HAVING count(*) > 1 AND cst_id IS NOT NULL"
+    plain["check_v13_sample"] = LISTINGS["v13"] + " WHERE prd_key IN (SELECT DISTINCT prd_key FROM crm_prd_info ORDER BY prd_key LIMIT 2)"
     plain["quality_suite"] = _SUITE
     plain["load_reconciliation"] = _LOAD_COUNTS
-    return {name: query(sql) for name, sql in plain.items()}
+    category = FEEDS["erp_pc_cat_g1v2"]
+    changed = {
+        "gold_join_guard_repeats": (_guard("silver_people"), REPEATED),
+        "fact_sales_point_in_time_overlaps": (_GOLD_AND_REPORTS["fact_sales_point_in_time"], REPEATED),
+        "check_v4_null_listed": (
+            METRIC_CHECKS["v4"],
+            {"erp_pc_cat_g1v2": f"SELECT CASE WHEN id <> 'LA_B1' THEN id END AS id, cat, subcat, maintenance FROM ({category})"},
+        ),
+        "check_v4_empty_list": (METRIC_CHECKS["v4"], {"erp_pc_cat_g1v2": f"SELECT * FROM ({category}) WHERE false"}),
+    }
+    return {name: query(sql) for name, sql in plain.items()} | {name: query(*parts) for name, parts in changed.items()}

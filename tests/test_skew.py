@@ -11,7 +11,7 @@ from conftest import plan_of
 from orestar.operators.anti_join import anti_join_null_aware
 from orestar.operators.latest import latest_by_key
 from orestar.operators.sequence import with_next
-from orestar.plans import gold, reports
+from orestar.plans import checks, gold, reports
 from test_operators import same_rows
 
 
@@ -140,12 +140,56 @@ def versions(spark, rng):
     )
 
 
-def test_point_in_time_both_ways(spark, sales):
+def test_point_in_time_of_a_hot_product(spark, sales):
+    """Half of the sales and 300 overlapping versions are of one product: a plain join on the period gives the same."""
     table = versions(spark, random.Random(5))
-    assert reports.most_versions(table) == 300
-    by_day = reports.sales_point_in_time(sales, table)
-    direct = reports.sales_point_in_time(sales, table, few=1000)
-    assert "Window" not in plan_of(direct)
-    assert "Window" in plan_of(by_day)
-    assert same_rows(by_day, direct)
-    assert by_day.where("cost_at_sale IS NOT NULL").count() > 30_000
+    found = reports.sales_point_in_time(sales, table)
+    assert "Window" not in plan_of(found) and "BroadcastNestedLoop" not in plan_of(found)
+    sales.createOrReplaceTempView("pit_sales")
+    table.createOrReplaceTempView("pit_versions")
+    twin = spark.sql(
+        "SELECT sls_ord_num AS order_number, sls_prd_key, sls_order_dt AS order_date, sls_sales AS sales_amount, sls_quantity AS quantity,"
+        " prd_id AS product_id, prd_start_dt AS version_start, prd_end_dt AS version_end, prd_cost AS cost_at_sale"
+        " FROM pit_sales LEFT JOIN pit_versions ON prd_key = sls_prd_key AND sls_order_dt >= prd_start_dt"
+        " AND (prd_end_dt IS NULL OR sls_order_dt <= prd_end_dt)"
+    )
+    assert same_rows(found, twin)
+    assert found.where("cost_at_sale IS NOT NULL").count() > 30_000
+
+
+def test_point_in_time_without_sales(spark, sales):
+    table = versions(spark, random.Random(5))
+    assert reports.sales_point_in_time(sales.where("false"), table).count() == 0
+
+
+def hot_rows(spark, key):
+    """Half of 60,000 rows share one key; the rest of each row does not compress."""
+    return spark.range(0, 60_000, numPartitions=8).selectExpr(
+        f"if(id % 2 = 0, 'HOT', concat('K', id)) AS {key}", "sha2(CAST(id AS string), 256) AS filler"
+    )
+
+
+@pytest.mark.parametrize(
+    "check",
+    [
+        lambda rows, keys: checks.already_in_crm({"erp_cust_az12": keys("cid")}, {"crm_cust_info": rows("cst_key")}),
+        lambda rows, keys: checks.uncategorised_products({}, {"crm_prd_info": keys("cat_id"), "erp_pc_cat_g1v2": rows("id")}),
+        lambda rows, keys: checks.products_not_in_catalogue({}, {"crm_sales_details": keys("sls_prd_key"), "crm_prd_info": rows("prd_key")}),
+    ],
+)
+def test_hot_keys_on_the_right_shrink_before_the_join(spark, small_partitions, check):
+    found = check(lambda key: hot_rows(spark, key), lambda key: hot_rows(spark, key).select(key))
+    plan = plan_of(found)
+    # The listed side is aggregated by key and part, not by key alone.
+    assert "listed_key" in plan and "part#" in plan
+    assert found.count() > 0
+
+
+def test_product_report_tells_sums_apart_not_sales(spark, sales, products, customers):
+    report = reports.products(gold.star(sales, products.selectExpr("*", "'n' AS product_name"), customers))
+    plan = plan_of(report)
+    # Operators are listed from the result down: the sums per cell lie below the Expand.
+    assert plan.index("Expand") < plan.rindex("HashAggregate")
+    below = plan[plan.index("Expand") :]
+    assert "order_number" in below and below.count("HashAggregate") >= 2
+    assert sum(r.total_sales for r in report.collect()) == sales.selectExpr("sum(sls_sales)").first()[0]
