@@ -13,9 +13,10 @@ from orestar.operators.quality import union_all
 from orestar.plans import checks, gold, reports, silver
 from orestar.plans.layer import Layer
 from orestar.plans.warehouse import Warehouse
-from orestar.schemas import FEED_FILES, RAW
+from orestar.schemas import BRONZE, FEED_FILES, GOLD, RAW, SILVER
 from orestar.session import prepare
 from orestar.sources import csv_feeds, feeds
+from orestar.sources.run_log import LAYER as OPS
 from orestar.sources.run_log import LOADED
 from orestar.workspace import fresh_path, materialise
 
@@ -37,12 +38,18 @@ def _silver(spark: SparkSession, sf_dir: str, erp_scope: str = "new_only") -> La
     return silver.silver_layer(feeds.raw_layer(spark, sf_dir), AS_OF, erp_scope)
 
 
-_dimensions: dict[tuple[str, str, str], DataFrame] = {}
+_dimensions: dict[tuple, DataFrame] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """The files a dimension is made from: new data under an old path are other files."""
+    tables = ("customer", "nation", "part", "supplier")
+    return tuple(sorted(f for t in tables for f in spark.read.parquet(f"{sf_dir}/{t}.parquet").inputFiles()))
 
 
 def _dimension(spark: SparkSession, sf_dir: str, name: str, erp_scope: str = "new_only") -> DataFrame:
     """A numbered dimension, stored once per session as the gold layer stores it."""
-    known = (spark.sparkContext.applicationId, sf_dir, f"{name}-{erp_scope}")
+    known = (spark.sparkContext.applicationId, f"{name}-{erp_scope}", _state(spark, sf_dir))
     if known not in _dimensions:
         tables = _silver(spark, sf_dir, erp_scope)
         if name == "customers":
@@ -88,8 +95,7 @@ def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = f"{fresh_path(spark, 'feed')}/{FEED_FILES[table]}"
     csv_feeds.write_csv(faulty, path)
-    lines = csv_feeds.rejected(csv_feeds.read_raw(spark, path, table), table)
-    return lines.groupBy("table_name", "reason").agg(F.expr("count(*) AS rejected_rows"))
+    return csv_feeds.rejected(csv_feeds.read_raw(spark, path, table), table)
 
 
 def _load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +110,10 @@ def _load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.load_silver()
     warehouse.build_gold()
     log = warehouse.log.entries().where(F.col("status") == LOADED)
-    return log.select("layer", "table_name", "rows_loaded", "status")
+    told = materialise(log.select("layer", "table_name", "rows_loaded", "status"), "run_log")
+    for layer in (BRONZE, SILVER, GOLD, OPS):
+        spark.sql(f"DROP DATABASE {prefix}{layer} CASCADE")
+    return told
 
 
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,24 +126,6 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(keys)
 
 
-def _join_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _guards(_silver(spark, sf_dir))
-
-
-def _guards(tables: Layer) -> DataFrame:
-    current = tables["crm_prd_info"].where("prd_end_dt IS NULL")
-    customers, sales = tables["crm_cust_info"], tables["crm_sales_details"]
-    return union_all(
-        [
-            gold.fan_out(customers, tables["erp_cust_az12"], "customer_demographics", "cst_key", "cid"),
-            gold.fan_out(customers, tables["erp_loc_a101"], "customer_location", "cst_key", "cid"),
-            gold.fan_out(current, tables["erp_pc_cat_g1v2"], "product_category", "cat_id", "id"),
-            gold.fan_out(sales, current, "sales_product", "sls_prd_key", "prd_key"),
-            gold.fan_out(sales, customers, "sales_customer", "sls_cust_id", "cst_id"),
-        ]
-    )
-
-
 def _repeats(spark: SparkSession, sf_dir: str) -> tuple[Layer, Layer]:
     """Raw and silver with repeated master data; all ERP people, so that known customers meet their repeats."""
     raw = feeds.raw_layer_with_repeats(spark, sf_dir)
@@ -249,8 +240,8 @@ def _queries() -> dict[str, Query]:
         "gold_fk_check_customer": lambda spark, sf_dir: gold.orphan_facts(
             _fact(spark, sf_dir), _dimension(spark, sf_dir, "customers"), "customer_key"
         ),
-        "gold_join_guard": _join_guard,
-        "gold_join_guard_repeats": lambda spark, sf_dir: _guards(_repeats(spark, sf_dir)[1]),
+        "gold_join_guard": lambda spark, sf_dir: gold.join_guards(_silver(spark, sf_dir)),
+        "gold_join_guard_repeats": lambda spark, sf_dir: gold.join_guards(_repeats(spark, sf_dir)[1]),
         "check_v2_stored_repeats": _stored_repeats,
         "check_v4_null_listed": _unlisted_by(lambda c: c.selectExpr("nullif(id, 'LA_B1') AS id")),
         "check_v4_empty_list": _unlisted_by(lambda c: c.where("length(id) > 50")),

@@ -1,4 +1,4 @@
-"""Batch jobs for spark-submit: load a layer, run the checks, or do it all.
+"""Batch jobs for spark-submit: load a layer, run the checks, build the reports, or do the batch.
 
     spark-submit --py-files orestar.zip orestar/__main__.py all --sources s3a://in --root s3a://lake
 
@@ -17,17 +17,20 @@ from orestar.operators.quality import FAIL
 from orestar.plans.checks import suite_verdict
 from orestar.plans.warehouse import Warehouse
 from orestar.session import cluster_session, prepare
+from orestar.sources import csv_feeds
 
 
 def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="orestar", description=__doc__)
-    parser.add_argument("job", choices=["bronze", "silver", "gold", "checks", "all"])
+    parser.add_argument("job", choices=["bronze", "silver", "gold", "checks", "reports", "all"])
     parser.add_argument("--root", required=True, help="folder of the stored layers")
     parser.add_argument("--sources", help="folder of the CSV feeds (bronze, all)")
     parser.add_argument("--prefix", default="", help="put before the database names")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="day after which a birth date is unknown; today")
     parser.add_argument("--erp-scope", choices=["new_only", "all"], default="new_only")
     parser.add_argument("--on-invalid-date", choices=["fail", "null"], default="fail")
+    parser.add_argument("--mode", choices=csv_feeds.MODES, default="PERMISSIVE", help="what lines do that fit no schema")
+    parser.add_argument("--shuffle-partitions", help="tasks of a shuffle; about one per 128 MB of the largest table")
     given = parser.parse_args(words)
     if given.job in ("bronze", "all") and not given.sources:
         parser.error("--sources is needed to load bronze")
@@ -45,16 +48,22 @@ def main(words: Sequence[str] | None = None) -> int:
     given = _arguments(words)
     active = SparkSession.getActiveSession()
     spark = prepare(active) if active else cluster_session()
+    if given.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", given.shuffle_partitions)
     warehouse = Warehouse(
         spark, given.root, given.prefix, given.as_of, given.erp_scope, given.on_invalid_date
     )
-    if given.job in ("bronze", "all"):
-        warehouse.load_bronze(given.sources)
-    if given.job in ("silver", "all"):
+    if given.job == "all":
+        return _report(warehouse.run(given.sources, given.mode))
+    if given.job == "bronze":
+        warehouse.load_bronze(given.sources, given.mode)
+    elif given.job == "silver":
         warehouse.load_silver()
-    if given.job in ("gold", "all"):
+    elif given.job == "gold":
         warehouse.build_gold()
-    return _report(warehouse.run_checks()) if given.job in ("checks", "all") else 0
+    elif given.job == "reports":
+        warehouse.build_reports()
+    return _report(warehouse.run_checks()) if given.job == "checks" else 0
 
 
 if __name__ == "__main__":

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from orestar.functions import cleansing as c
 from orestar.operators.anti_join import anti_join_null_aware, few_copies
 from orestar.operators.quality import (
-    FAIL, INFO, WARN, Check, metric_rows, run_checks, union_all, value_counts,
+    FAIL, INFO, PASS, WARN, Check, metric_rows, run_checks, union_all, value_counts,
 )
 from orestar.operators.sequence import with_next
+from orestar.plans import gold
 
 Tables = Mapping[str, DataFrame]
 
@@ -289,6 +290,53 @@ def quality_suite(bronze: Tables, silver: Tables, as_of: dt.date | None = None)
     return union_all([*fused, duplicate_customers(silver), *cross])
 
 
+def listing_metrics(bronze: Tables, silver: Tables) -> DataFrame:
+    """The listing checks as results: one per listed value, or their number where the list is of keys."""
+
+    def counted(check_id: str, table: str, severity: str = INFO) -> DataFrame:
+        listed = LISTINGS[check_id](bronze, silver).selectExpr("count(*) AS listed")
+        return metric_rows(listed, check_id, table, severity)
+
+    def by_value(check_id: str, table: str, label: str, value: str, count: str) -> DataFrame:
+        columns = f"'{check_id}' AS check_id", f"'{table}' AS table_name", f"concat({label}, coalesce({value}, 'NULL')) AS metric"
+        return LISTINGS[check_id](bronze, silver).selectExpr(*columns, f"CAST({count} AS bigint) AS value", f"'{INFO}' AS status")
+
+    counts = {"v3": "crm_cust_info", "v12": "crm_prd_info", "v24": "erp_cust_az12", "v26": "erp_loc_a101", "v30": "erp_pc_cat_g1v2"}
+    domains = {"v11": ("crm_prd_info", "prd_line"), "v23": ("erp_cust_az12", "gen"), "v25": ("erp_loc_a101", "cntry")}
+    loads = LISTINGS["v35"](bronze, silver).selectExpr(
+        "'v35' AS check_id", "table_name",
+        f"inline(array(struct('silver_rows' AS metric, silver_rows AS value, '{INFO}' AS status),"
+        f" struct('bronze_rows' AS metric, bronze_rows AS value, '{INFO}' AS status)))",
+    )
+    return union_all(
+        [
+            counted("v6", "silver.crm_prd_info", WARN),
+            counted("v13", "bronze.crm_prd_info"),
+            *[by_value(i, f"silver.{t}", "label, ': '", "value", "row_count") for i, t in counts.items()],
+            *[by_value(i, f"silver.{t}", "''", column, "1") for i, (t, column) in domains.items()],
+            by_value("v29", "bronze.erp_pc_cat_g1v2", "label, ': '", "value", "1"),
+            loads,
+        ]
+    )
+
+
+def gold_checks(silver: Tables, gold_tables: Tables) -> DataFrame:
+    """V36 on both sides of the fact, and what each join of the gold layer would repeat."""
+    fact = gold_tables["fact_sales"]
+    orphans = [
+        metric_rows(
+            gold.orphan_facts(fact, gold_tables[dimension], key).selectExpr(f"count(*) AS orphans_by_{key}"),
+            "v36", "gold.fact_sales", FAIL,
+        )
+        for dimension, key in (("dim_products", "product_key"), ("dim_customers", "customer_key"))
+    ]
+    guards = gold.join_guards(silver).selectExpr(
+        "'guard' AS check_id", "'gold' AS table_name", "join_name AS metric", "extra_rows AS value",
+        f"if(extra_rows = 0, '{PASS}', '{FAIL}') AS status",
+    )
+    return union_all([*orphans, guards])
+
+
 def suite_verdict(results: DataFrame) -> DataFrame:
     """One row per check, FAIL before WARN before PASS, computed from the results."""
     found = f"CASE WHEN bool_or(status = '{FAIL}') THEN '{FAIL}' WHEN bool_or(status = '{WARN}') THEN '{WARN}' ELSE 'PASS' END"

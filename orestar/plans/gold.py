@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestar.functions.cleansing import UNKNOWN
+from orestar.operators.quality import union_all
 from orestar.operators.surrogate import surrogate_key
 
 FACT_COLUMNS = [
@@ -120,3 +123,18 @@ def fan_out(rows: DataFrame, dimension: DataFrame, label: str, row_key: str, key
     return hits.join(repeated, "joined_key").selectExpr(
         f"'{label}' AS join_name", "coalesce(sum(hits * (members - 1)), 0) AS extra_rows"
     )
+
+
+def join_guards(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """What each join of the gold layer adds; all 0 if master data names nobody twice."""
+    current = silver["crm_prd_info"].where("prd_end_dt IS NULL")
+    customers, sales = silver["crm_cust_info"], silver["crm_sales_details"]
+    return union_all(
+        [
+            fan_out(customers, silver["erp_cust_az12"], "customer_demographics", "cst_key", "cid"),
+            fan_out(customers, silver["erp_loc_a101"], "customer_location", "cst_key", "cid"),
+            fan_out(current, silver["erp_pc_cat_g1v2"], "product_category", "cat_id", "id"),
+            fan_out(sales, current, "sales_product", "sls_prd_key", "prd_key"),
+            fan_out(sales, customers, "sales_customer", "sls_cust_id", "cst_id"),
+        ]
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,3 +125,17 @@ def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
         "prd_end_dt AS version_end",
         "prd_cost AS cost_at_sale",
     )
+
+
+# Reports over the star, by the name of their table.
+STAR_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "sales_by_country": sales_by_country,
+    "revenue_by_category": revenue_by_category,
+    "sales_trend": sales_trend,
+    "profit": profit,
+    "customers": customers,
+    "products": products,
+    "sales_by_customer_attribute": sales_by_customer_attribute,
+    "sales_by_product_line": sales_by_product_line,
+    "sales_by_cost": sales_by_cost,
+}

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from orestar.schemas import RAW, TEXT_WIDTH, text_columns
 
 _BAD_LINE = "_bad_line"
+MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 
 def read_raw(
@@ -23,21 +24,25 @@ def read_raw(
     """A feed file as a DataFrame; the header line is skipped, columns go by position.
 
     ``PERMISSIVE`` keeps every line and adds the text of those that do not fit
-    the schema, for ``accepted`` and ``rejected``; ``FAILFAST`` stops on the
-    first such line and ``DROPMALFORMED`` leaves them out. ``quote=""`` reads
+    the schema, for ``accepted`` and ``rejected``; ``FAILFAST`` stops on a line
+    that ``rejected`` would list and ``DROPMALFORMED`` leaves them out. All modes
+    share one verdict, whichever columns a query uses. ``quote=""`` reads
     quotes as ordinary characters. ``collation`` gives the text columns a
     collation, for sources whose codes and keys compare without case.
     """
-    schema = RAW[table]
-    if mode == "PERMISSIVE":
-        schema = T.StructType([*schema.fields, T.StructField(_BAD_LINE, T.StringType())])
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
+    schema = T.StructType([*RAW[table].fields, T.StructField(_BAD_LINE, T.StringType())])
     reader = spark.read.schema(schema).options(
-        header=True, sep=sep, quote=quote, mode=mode, columnNameOfCorruptRecord=_BAD_LINE,
+        header=True, sep=sep, quote=quote, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE,
     )
     df = reader.csv(path)
     if collation:
         df = df.withColumns({name: F.collate(name, collation) for name in text_columns(table)})
-    return df
+    if mode == "FAILFAST":
+        fits = F.when(_reason(table).isNull(), True)
+        df = df.where(fits.otherwise(F.raise_error(F.concat(F.lit(f"line does not fit {table}: "), _line(table))).cast("boolean")))
+    return df if mode == "PERMISSIVE" else accepted(df, table)
 
 
 def _reason(table: str) -> Column:
@@ -52,6 +57,16 @@ def _reason(table: str) -> Column:
     return F.expr(f"CASE WHEN {_BAD_LINE} IS NOT NULL AND {all_read} THEN 'malformed' WHEN {too_long} THEN 'over_long' END")
 
 
+def _line(table: str) -> Column:
+    return F.coalesce(F.col(_BAD_LINE), F.to_csv(F.struct(*RAW[table].names)))
+
+
+def judged(lines: DataFrame, table: str) -> DataFrame:
+    """Every line once: its columns, and for a line that does not fit its reason and text."""
+    marked = lines.withColumn("reason", _reason(table))
+    return marked.withColumn("line", F.when(F.col("reason").isNotNull(), _line(table))).drop(_BAD_LINE)
+
+
 def accepted(lines: DataFrame, table: str) -> DataFrame:
     """The lines that fit the table: typed, complete, no text over its width."""
     return lines.where(_reason(table).isNull()).select(*RAW[table].names)
@@ -59,15 +74,7 @@ def accepted(lines: DataFrame, table: str) -> DataFrame:
 
 def rejected(lines: DataFrame, table: str) -> DataFrame:
     """The other lines, with the reason and their text."""
-    text = F.coalesce(F.col(_BAD_LINE), F.to_csv(F.struct(*RAW[table].names)))
-    return lines.select(
-        F.lit(table).alias("table_name"), _reason(table).alias("reason"), text.alias("line")
-    ).where(F.col("reason").isNotNull())
-
-
-def rejected_count(table: str) -> Column:
-    """Aggregate for ``observe``: rejects seen while the accepted rows are written."""
-    return F.count_if(_reason(table).isNotNull())
+    return judged(lines, table).where("reason IS NOT NULL").select(F.lit(table).alias("table_name"), "reason", "line")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

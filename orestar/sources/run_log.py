@@ -1,10 +1,11 @@
-"""One row per table load: what ran, how long, how many rows, how it ended."""
+"""One row per table load and one per batch: what ran, how long, how many rows, how it ended."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
 from threading import Lock
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
@@ -13,34 +14,41 @@ from orestar.sources.lake import Lake
 LAYER, TABLE = "ops", "load_runs"
 LOADED, FAILED = "LOADED", "FAILED"
 _SCHEMA = (
-    "batch_id string, layer string, table_name string, rows_loaded bigint, started_at timestamp,"
+    "batch_id string, layer string, table_name string, rows_loaded bigint, rows_rejected bigint, started_at timestamp,"
     " ended_at timestamp, seconds double, status string, error string"
 )
 
 
+class Loaded(NamedTuple):
+    """What a load wrote, and what it turned away."""
+
+    rows: int | None = None
+    rejected: int | None = None
+
+
 class RunLog:
     def __init__(self, lake: Lake, batch_id: str) -> None:
         self.lake = lake
         self.batch_id = batch_id
         self._one_writer = Lock()
 
-    def record(self, layer: str, table: str, load: Callable[[], int]) -> int:
+    def record(self, layer: str, table: str, load: Callable[[], Loaded]) -> Loaded:
         """Run ``load`` and log it. A failure is logged too, and always raised."""
         started = dt.datetime.now(dt.timezone.utc)
         try:
-            rows = load()
+            loaded = load()
         except Exception as error:
-            self._append(layer, table, None, started, FAILED, f"{type(error).__name__}: {error}")
+            self._append(layer, table, Loaded(), started, FAILED, f"{type(error).__name__}: {error}")
             raise
-        self._append(layer, table, rows, started, LOADED, None)
-        return rows
+        self._append(layer, table, loaded, started, LOADED, None)
+        return loaded
 
     def _append(
-        self, layer: str, table: str, rows: int | None, started: dt.datetime, status: str, error: str | None
+        self, layer: str, table: str, loaded: Loaded, started: dt.datetime, status: str, error: str | None
     ) -> None:
         ended = dt.datetime.now(dt.timezone.utc)
         seconds = (ended - started).total_seconds()
-        row = (self.batch_id, layer, table, rows, started, ended, seconds, status, error)
+        row = (self.batch_id, layer, table, loaded.rows, loaded.rejected, started, ended, seconds, status, error)
         with self._one_writer:
             self.lake.append(self.lake.spark.createDataFrame([row], _SCHEMA), LAYER, TABLE)
 

@@ -7,6 +7,8 @@ package cuts lineage this way and never with executor-local storage.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +35,31 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid4().hex}"
 
 
+_kept_in_block: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that were written inside the block, by any thread, when it ends."""
+    paths: list[str] = []
+    _kept_in_block.append(paths)
+    try:
+        yield
+    finally:
+        _kept_in_block.remove(paths)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in paths:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back, so every later use sees the same rows.
 
     The copy on disk also gives the optimizer true sizes for its join choices.
     """
     path = fresh_path(df.sparkSession, label)
+    for paths in _kept_in_block:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -232,9 +232,14 @@ FROM silver_sales s LEFT JOIN silver_products v
 _EMPTY_AS_NULL = {"erp_cust_az12": "SELECT cid, bdate, nullif(gen, '') AS gen FROM erp_cust_az12"}
 
 _BRONZE = {f"bronze_ingest_{table}": _EMPTY_AS_NULL.get(table, f"SELECT * FROM {table}") for table in FEEDS}
-_BRONZE["bronze_rejects"] = """SELECT 'crm_sales_details' AS table_name,
- CASE WHEN l_orderkey % 7 = 1 THEN 'malformed' ELSE 'over_long' END AS reason, count(*) AS rejected_rows
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 7 IN (1, 2) GROUP BY ALL"""
+_FIELDS = ("sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_quantity", "sls_price")
+_FAULTY = {
+    "sls_quantity": "CASE n % 7 WHEN 1 THEN 'many' ELSE CAST(sls_quantity AS VARCHAR) END",
+    "sls_ord_num": "CASE n % 7 WHEN 2 THEN rpad(sls_ord_num, 60, '0') ELSE sls_ord_num END",
+}
+_TEXT = " || ',' || ".join(f"coalesce({_FAULTY.get(f, f'CAST({f} AS VARCHAR)')}, '')" for f in _FIELDS)
+_BRONZE["bronze_rejects"] = f"""SELECT 'crm_sales_details' AS table_name, CASE n % 7 WHEN 1 THEN 'malformed' ELSE 'over_long' END AS reason, {_TEXT} AS line
+FROM (SELECT *, CAST(substring(sls_ord_num, 3) AS BIGINT) AS n FROM crm_sales_details) WHERE n % 7 IN (1, 2)"""
 
 _SILVER = {
     "silver_customers": "SELECT * FROM silver_customers",

@@ -53,11 +53,21 @@ def test_the_verdict_does_not_depend_on_the_columns_used(feed):
 def test_fail_fast(feed):
     with pytest.raises((PySparkException, Py4JJavaError)):
         feed(CUSTOMERS, "crm_cust_info", mode="FAILFAST").collect()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        feed(CUSTOMERS, "crm_cust_info", mode="FAILFAST").select("cst_key").count()
+    clean = "h,h\nAW-1,DE\n"
+    assert feed(clean, "erp_loc_a101", mode="FAILFAST").count() == 1
 
 
 def test_drop_malformed(feed):
     lines = feed(CUSTOMERS, "crm_cust_info", mode="DROPMALFORMED")
-    assert sorted(r.cst_id for r in lines.collect()) == [1, 2, 6, 7]
+    assert sorted(r.cst_id for r in lines.collect()) == [1, 2, 7]
+    assert lines.count() == lines.select("cst_key").count() == 3
+
+
+def test_an_unknown_mode(feed):
+    with pytest.raises(ValueError):
+        feed(CUSTOMERS, "crm_cust_info", mode="LENIENT")
 
 
 def test_quotes_as_ordinary_characters(feed):
