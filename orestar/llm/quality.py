@@ -220,9 +220,10 @@ def co_train(table: DataFrame, labels: DataFrame, id_col: str, rounds: int, adde
     rows = {k: (v[fit], y[fit], weight[fit]) for k, v in x.items()}
     views = {k: fit_view(*own) for k, own in rows.items()}
     known = labels.select(F.col(id_col).cast("bigint").alias("label_id")).where("label_id IS NOT NULL").distinct()
-    pool = table.join(known, table["doc_id"] == known["label_id"], "left_anti").where("doc_id IS NOT NULL")
     for _ in range(rounds):
-        scores = materialise(_scored(pool, views), "co_training")
+        # All rows are scored; only ids and scores are shuffled to leave the labelled ones out.
+        scores = _scored(table, views).where("doc_id IS NOT NULL")
+        scores = materialise(scores.join(known, scores["doc_id"] == known["label_id"], "left_anti"), "co_training")
         for teacher, pupil in (("text", "meta"), ("meta", "text")):
             chosen = _surest(scores, teacher, added).withColumnRenamed("doc_id", "chosen_id")
             # At most 2 * added rows: sent everywhere, and to the driver.
