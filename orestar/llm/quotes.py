@@ -80,24 +80,25 @@ def roots(links: DataFrame) -> DataFrame:
     """id, root and depth of every message in ``links`` (id, parent).
 
     Every round doubles the distance a pointer spans, so the rounds are the
-    logarithm of the longest chain. Parents are smaller than their replies:
-    there are no cycles.
+    logarithm of the longest chain, and only messages that have not arrived
+    take part. Parents are smaller than their replies: there are no cycles.
     """
     tops = links.select(F.col("parent").alias("id")).join(links.select("id"), "id", "left_anti").distinct()
-    now = links.select("id", F.col("parent").alias("up"), F.lit(1).alias("depth")).unionAll(
-        tops.select("id", F.col("id").alias("up"), F.lit(0).alias("depth"))
-    )
-    now = materialise(now, "threads")
+    tops = materialise(tops, "thread_tops")
+    found = links.select("id", F.col("parent").alias("up"), F.lit(1).alias("depth"))
+    arrived = tops.select(F.col("id").alias("up"), F.lit(True).alias("is_top"))
+    now = materialise(found.join(arrived, "up", "left").selectExpr("id", "up", "depth", "is_top IS NOT NULL AS done"), "threads")
+    settled = tops.select("id", F.col("id").alias("up"), F.lit(0).alias("depth"), F.lit(True).alias("done"))
     while True:
-        step = now.select(F.col("id").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        now = materialise(
-            now.join(step, "up").select("id", F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), "more"),
-            "threads",
+        settled, moving = settled.unionAll(now.where("done")), now.where("NOT done")
+        if moving.isEmpty():
+            return settled.select("id", F.col("up").alias("root"), "depth")
+        # Whatever a moving pointer points at has a pointer itself, settled or moving.
+        step = settled.unionAll(moving).select(
+            F.col("id").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"), "done"
         )
-        moved = now.where("more > 0").limit(1).count()
-        now = now.drop("more")
-        if not moved:
-            return now.select("id", F.col("up").alias("root"), "depth")
+        met = moving.drop("done").join(step, "up")
+        now = materialise(met.select("id", F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), "done"), "threads")
 
 
 def link_quotations(messages: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
