@@ -88,7 +88,8 @@ class Lake:
     def _register(self, layer: str, table: str, path: str, schema: T.StructType) -> None:
         spark, name = self.spark, self.name(layer, table)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION {_quoted(f'{self.root}/{layer}')}")
-        if self.exists(layer, table) and spark.table(name).schema == schema:
+        columns = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+        if self.exists(layer, table) and spark.table(name).dtypes == columns:
             spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(path)}")
         else:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
