@@ -66,36 +66,33 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_re
     return ranked.withColumn("target", target).drop("most")
 
 
-def _ln_gamma(x: str) -> str:
-    """Natural logarithm of gamma for x >= 1: Stirling's series seven steps up, stepped down again."""
-    up = f"({x} + 7)"
-    product = " * ".join(f"({x} + {i})" for i in range(7))
-    return f"(({up} - 0.5) * ln({up}) - {up} + 0.9189385332046727 + 1 / (12 * {up}) - 1 / (360 * pow({up}, 3)) + 1 / (1260 * pow({up}, 5)) - ln({product}))"
-
-
-def _ln_choose(n: str, k: str) -> str:
-    return f"({_ln_gamma(f'(1e0 + {n})')} - {_ln_gamma(f'(1e0 + {k})')} - {_ln_gamma(f'(1e0 + {n} - {k})')})"
-
-
 def _split_counts(seed: int) -> str:
     """Counts for the left child: one hypergeometric draw per source, each given the ones before.
 
     A draw inverts the distribution within 12 standard deviations of its mean,
-    beyond which nothing is left in double precision.
+    beyond which nothing is left in double precision. Its weights follow from
+    one another, so they need no factorials.
     """
     u = f"(shiftrightunsigned(xxhash64({seed}L, node, q.source_rank), 11) * {2.0 ** -53!r}D)"
     mean = "(1e0 * s.take * q.n / greatest(s.there, 1L))"
     spread = f"(12 * sqrt({mean} * (1 - 1e0 * q.n / greatest(s.there, 1L))) + 12)"
     low = f"greatest(0L, s.take - (s.there - q.n), CAST(floor({mean} - {spread}) AS bigint))"
     high = f"least(q.n, s.take, CAST(ceil({mean} + {spread}) AS bigint))"
-    chance = f"exp({_ln_choose('q.n', 'k')} + {_ln_choose('(s.there - q.n)', '(s.take - k)')} - {_ln_choose('s.there', 's.take')})"
-    picked = (
-        f"least({high}, {low} + aggregate(sequence({low}, {high}), struct(0e0 AS below, 0L AS passed),"
-        f" (a, k) -> struct(a.below + {chance} AS below, a.passed + if(a.below + {chance} < {u}, 1L, 0L) AS passed), a -> a.passed))"
+    # The weight of k + 1 over that of k.
+    ratio = "((q.n - k) * 1e0 * (s.take - k) / ((k + 1) * 1e0 * (s.there - q.n - s.take + k + 1)))"
+    total = f"aggregate(ks, struct(1e0 AS w, 1e0 AS upto), (a, k) -> struct(a.w * {ratio} AS w, a.upto + a.w * {ratio} AS upto), a -> a.upto)"
+    pick = (
+        "aggregate(ks, struct(1e0 AS w, 1e0 AS upto, b.low AS picked), (a, k) -> struct("
+        f"a.w * {ratio} AS w, a.upto + a.w * {ratio} AS upto, if(a.upto < due, k + 1, a.picked) AS picked), a -> a.picked)"
     )
+    # A lambda over one element gives a value a name.
+    drawn = f"transform(array({u} * {total}), due -> {pick})[0]"
+    steps = "if(b.high > b.low, sequence(b.low, b.high - 1), CAST(array() AS array<bigint>))"
+    drawn = f"transform(array({steps}), ks -> {drawn})[0]"
+    drawn = f"transform(array(struct({low} AS low, {high} AS high)), b -> {drawn})[0]"
     return (
         "aggregate(counts, struct(total AS there, total_left AS take, CAST(array() AS array<bigint>) AS picked),"
-        f" (s, q) -> transform(array({picked}), x -> struct(s.there - q.n AS there, s.take - x AS take,"
+        f" (s, q) -> transform(array({drawn}), x -> struct(s.there - q.n AS there, s.take - x AS take,"
         " array_append(s.picked, x) AS picked))[0], s -> s.picked)"
     )
 
