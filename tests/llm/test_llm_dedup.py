@@ -149,10 +149,18 @@ def test_near_in_order_gives_each_pair_once():
 
     keys = [np.array([1, 1, 1, 1, x], ">u2").tobytes() for x in (1, 2, 3, 4, 5)] + [np.array([2] * 5, ">u2").tobytes()]
     rows = pd.DataFrame({"id": range(6), "tree": 0, "key": keys})
-    all_pairs = near_dedup.near_in_order(rows, 0, 5, 4, 3)
-    assert {(a, b) for a, b in zip(all_pairs["a"], all_pairs["b"])} == {(a, b) for a in range(5) for b in range(a + 1, 5) if b - a <= 3}
-    new = near_dedup.near_in_order(rows, 3, 5, 4, 3)
-    assert {(a, b) for a, b in zip(new["a"], new["b"])} == {(0, 3), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)}
+
+    def pairs(old, neighbours, tree=0):
+        found = near_dedup.near_in_order(rows.assign(tree=tree), old, 5, 4, neighbours)
+        return sorted(zip(found["a"], found["b"], found["gap"])), [k for k in found["key"] if k is not None]
+
+    apart = [(a, b, b - a) for a in range(5) for b in range(a + 1, 5)]
+    assert pairs(0, 4) == (apart, [])
+    assert pairs(3, 4) == ([p for p in apart if p[1] >= 3], [])
+    # Five rows are too many for a neighbourhood of two: the region is named instead.
+    name = np.array([1] * 4, ">u2").tobytes()
+    assert pairs(0, 2) == ([(0, 0, 0)] + [p for p in apart if p[2] == 1], [name])
+    assert pairs(0, 2, tree=near_dedup.FIRST_TREES) == ([(0, 0, 0)], [name])
 
 
 def test_components(spark):
