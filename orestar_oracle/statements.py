@@ -272,7 +272,7 @@ def statements() -> dict[str, str]:
     plain["check_v22_all"] = _by_rule("v22", "silver.erp_cust_az12", "silver_people", _BIRTH_RULES)
     plain["check_v24_all"] = _counts("silver_people", gen="Gender Distribution")
     plain["check_v31_all"] = _overlap("silver_people")
-    plain["check_v2_stored_repeats"] = "SELECT cst_id, count(*) AS duplicate_count FROM crm_cust_info GROUP BY cst_id HAVING count(*) > 1 AND cst_id IS NOT NULL"
+    plain["check_v2_stored_repeats"] = "SELECT cst_id, count(*) AS duplicate_count FROM crm_cust_info GROUP BY cst_id HAVING count(*) > 1"
     plain["check_v13_sample"] = LISTINGS["v13"] + " WHERE prd_key IN (SELECT DISTINCT prd_key FROM crm_prd_info ORDER BY prd_key LIMIT 2)"
     plain["quality_suite"] = _SUITE
     plain["load_reconciliation"] = _LOAD_COUNTS

@@ -96,7 +96,7 @@ def test_faults_that_only_some_feeds_have(spark):
         return driver.queries()[name](spark, "/root/testdata/sf0.01").collect()
 
     assert len(rows("check_v6")) == 45
-    assert len(rows("check_v2_stored_repeats")) == 148
+    assert len(rows("check_v2_stored_repeats")) == 149
     assert {r.join_name: r.extra_rows for r in rows("gold_join_guard_repeats")} == {
         "customer_demographics": 30, "customer_location": 30, "product_category": 587, "sales_product": 6435, "sales_customer": 0,
     }
