@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -143,6 +144,27 @@ def test_near_duplicates_in_crowded_regions(spark):
     assert some(map(tuple, near_dedup.near_duplicates(docs, width=2, neighbours=1).drop("digest").collect())) == expected
 
 
+def replaced(base, spots, name):
+    return [f"{name}{i}" if i in spots else w for i, w in enumerate(base)]
+
+
+def test_a_true_partner_among_hundreds_of_near_misses(spark):
+    """Two texts at similarity 0.8, each with 150 others at 0.785, over twenty of which agree better by chance."""
+    rng = random.Random(2)
+    one = [f"w2n{i}" for i in range(109)]
+    two = replaced(one, range(2, 98, 16), "two")
+    rows = [(1, one), (2, two)]
+    for k in range(300):
+        spots = rng.sample(range(1, 104, 4), 6)
+        rows.append((10 + k, replaced((one, two)[k % 2], {*spots, spots[0] + 1}, f"k{k}n")))
+    rows = [(i, " ".join(words), "en", "s") for i, words in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    found = near_dedup.near_duplicates(docs, width=2).drop("digest")
+    expected = brute_near(rows, 2)
+    assert [r[2] for r in expected[:2]] == [1, 1]
+    assert some(map(tuple, found.collect())) == some(expected)
+
+
 def test_near_in_order_gives_each_pair_once():
     import numpy as np
     import pandas as pd
