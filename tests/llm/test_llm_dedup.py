@@ -165,6 +165,24 @@ def test_a_true_partner_among_hundreds_of_near_misses(spark):
     assert some(map(tuple, found.collect())) == some(expected)
 
 
+def test_crowded_regions_are_searched_whole(spark, monkeypatch):
+    """A hundred pairs at similarity 0.8, most of them apart, that share much with all others, in regions far above the size of a task."""
+    monkeypatch.setattr(near_dedup, "CROWD", 4)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(109)]
+    rows = []
+    for k in range(100):
+        one = replaced(base, rng.sample(range(1, 105, 4), 5), f"k{k}n")
+        rows += [(2 * k, one), (2 * k + 1, replaced(one, rng.sample(range(3, 106, 4), 6), f"k{k}m"))]
+    rows = [(i, " ".join(words), "en", "s") for i, words in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    # A neighbourhood of one, so that nearly all regions are crowded.
+    found = near_dedup.near_duplicates(docs, width=2, neighbours=1).drop("digest")
+    expected = brute_near(rows, 2)
+    assert sum(r[3] for r in expected) > 60
+    assert some(map(tuple, found.collect())) == some(expected)
+
+
 def test_near_in_order_gives_each_pair_once():
     import numpy as np
     import pandas as pd
