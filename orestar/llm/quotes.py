@@ -2,9 +2,10 @@
 
 Lines are parsed for nested quote marks. Runs of lines of one level are
 passages; the unquoted ones are what the message itself says. Passages are
-normalised and hashed. A quoted passage is joined to the earliest message that
-says it, the shallowest quote of a message names its parent, and the chain of
-parents is followed by pointer doubling to the message that began the
+normalised and hashed, together with the passage they answer and alone. A quoted
+passage is joined to the earliest message that says it in answer to the same, or
+else to the earliest that says it; the shallowest quote of a message names its
+parent, and the chain of parents is followed by pointer doubling to the message that began the
 conversation. The result is ordered by replies and free of quotes.
 """
 
@@ -52,27 +53,57 @@ def passages(messages: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", F.trim(own, F.lit(SPACE_CHARS)).alias("own"), parts.alias("parts"))
 
 
+def _in_context(parts: str) -> Column:
+    """The parts that are not blank, as (place, level, said, whole, deeper): ``deeper`` is the part beside it one level deeper, if any."""
+    each = F.transform(parts, lambda p: F.struct(p.place, p.level, p.said, normalised(p.said).alias("whole")))
+    each = F.filter(each, lambda p: p.whole != "")
+
+    def placed(kept: Column) -> Column:
+        def deeper(p: Column, other: Column) -> Column:
+            return F.when(other.level == p.level + 1, other.whole)
+
+        # What is answered stands above the answer; where it does not, below.
+        return F.transform(
+            kept,
+            lambda p, i: F.struct(
+                p.place, p.level, p.said, p.whole,
+                F.coalesce(deeper(p, F.get(kept, i - 1)), deeper(p, F.get(kept, i + 1))).alias("deeper"),
+            ),
+        )
+
+    # A lambda over one element gives a value a name.
+    return F.transform(F.array(each), placed)[0]
+
+
 def _keys(rows: DataFrame, quoted: bool) -> DataFrame:
-    """Hashes by which passages are compared: whole passages (by_line 0) and their longer lines (by_line 1)."""
+    """Hashes by which passages are compared: whole passages (by_line 0) and their longer lines (by_line 1).
+
+    Each comes with the passage it answers (single 0), if there is one, and by itself (single 1).
+    """
     wanted = "level > 0" if quoted else "level = 0"
-    parts = rows.select("id", F.inline("parts")).where(wanted).withColumn("whole", normalised(F.col("said")))
-    parts = parts.where("whole <> ''")
-    whole = parts.select("id", "level", "place", F.lit(0).alias("by_line"), _hash(F.col("whole")).alias("hash"))
-    line = parts.select("id", "level", "place", F.explode(F.split("said", "\n")).alias("line"))
+    parts = rows.select("id", F.inline(_in_context("parts"))).where(wanted)
+    whole = parts.select("id", "level", "place", F.lit(0).alias("by_line"), F.col("whole").alias("text"), "deeper")
+    line = parts.select("id", "level", "place", "deeper", F.explode(F.split("said", "\n")).alias("line"))
     line = line.withColumn("line", normalised(F.col("line"))).where(F.char_length("line") >= LEAST_LINE)
-    lines = line.select("id", "level", "place", F.lit(1).alias("by_line"), _hash(F.col("line")).alias("hash"))
-    return whole.unionAll(lines)
+    texts = whole.unionAll(line.select("id", "level", "place", F.lit(1).alias("by_line"), F.col("line").alias("text"), "deeper"))
+    # Normalised texts have no line ends.
+    chain = F.struct(F.lit(0).alias("single"), _hash(F.concat("text", F.lit("\n"), "deeper")).alias("hash"))
+    alone = F.struct(F.lit(1).alias("single"), _hash(F.col("text")).alias("hash"))
+    return texts.select("id", "level", "place", "by_line", F.inline(F.array(chain, alone))).where("hash IS NOT NULL")
 
 
 def parents(rows: DataFrame) -> DataFrame:
     """id and parent of every message that quotes an earlier one."""
+    key = ["by_line", "single", "hash"]
     said = _keys(rows, quoted=False)
-    own = rows.where("own <> ''").select("id", F.lit(0).alias("by_line"), _hash(normalised(F.col("own"))).alias("hash"))
+    own = rows.where("own <> ''").select("id", F.lit(0).alias("by_line"), F.lit(1).alias("single"), _hash(normalised(F.col("own"))).alias("hash"))
     # However many messages say the same, one row per hash is left.
-    first = said.select("id", "by_line", "hash").unionAll(own).groupBy("by_line", "hash").agg(F.min("id").alias("origin"))
+    first = said.select("id", *key).unionAll(own).groupBy(*key).agg(F.min("id").alias("origin"), F.max("id").alias("latest"))
     quoted = _keys(rows, quoted=True).where("id IS NOT NULL").distinct()
-    found = quoted.join(first, ["by_line", "hash"]).where("origin < id")
-    best = F.min(F.struct("level", "by_line", "place", "origin"))
+    found = quoted.join(first, key).where("origin < id")
+    # A passage alone that several say names no conversation: it comes after all others.
+    found = found.withColumn("doubt", F.expr("if(single = 1 AND origin <> latest, 1, 0)"))
+    best = F.min(F.struct("doubt", "level", "single", "by_line", "place", "origin"))
     return found.groupBy("id").agg(best.alias("best")).select("id", F.col("best.origin").alias("parent"))
 
 
@@ -106,9 +137,12 @@ def link_quotations(messages: DataFrame, id_col: str = "id", text_col: str = "te
 
     Sorted by (root, depth, id) the rows are conversations in the order of their
     replies. Ids rise with time and may be of any type that has an order. A
-    passage that several messages say belongs to the earliest. If a quote is not
-    found whole, its longer lines are looked up; if the shallowest level is not
-    found, the next deeper one gives the nearest ancestor that is.
+    passage and the one beside it that is quoted one level deeper belong to the
+    earliest message that says the one and quotes the other. Where there is none,
+    the passage alone belongs to the earliest message that says it; if several
+    say it, quotes that leave no such doubt go first, whatever their level. If a
+    quote is not found whole, its longer lines are looked up; if the shallowest
+    level is not found, the next deeper one gives the nearest ancestor that is.
 
     Null and empty texts say and quote nothing, and so do passages of white
     space. Rows that share an id are one message, of which the smallest text

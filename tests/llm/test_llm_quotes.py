@@ -53,6 +53,26 @@ def test_equal_texts_belong_to_the_earliest(spark):
     assert found[0][:3] == (0, None, 0)
 
 
+def test_repeated_passages_stay_in_their_conversation(spark):
+    found = linked(
+        spark,
+        [
+            (1, "question one"),
+            (2, "> question one\nThanks"),
+            (3, "question two"),
+            (4, "> question two\nthanks"),
+            (5, "> > question two\n> thanks\nwelcome"),
+            (6, "thanks\n> question two"),
+            (7, "you too\n> thanks\n> > question two"),
+            (8, "question three"),
+            # What it thanks for was not quoted where it was said.
+            (9, "> > question three\n> thanks\nbye"),
+            (10, "> thanks\nno more"),
+        ],
+    )
+    assert [found[i][:3] for i in (4, 5, 7, 9, 10)] == [(3, 3, 1), (3, 4, 2), (3, 4, 2), (8, 8, 1), (1, 2, 2)]
+
+
 def test_a_long_thread(spark):
     rows = [(0, "message 0")] + [(i, f"> message {i - 1}\nmessage {i}") for i in range(1, 70)]
     assert {i: r[:3] for i, r in linked(spark, rows).items()} == {i: (0, i - 1 if i else None, i) for i in range(70)}
