@@ -203,6 +203,31 @@ def test_near_in_order_gives_each_pair_once():
     assert pairs(0, 2, tree=near_dedup.FIRST_TREES) == ([(0, 0, 0)], [name])
 
 
+def _forest_rows(ids, part):
+    import pandas as pd
+
+    return pd.DataFrame({"id": list(ids), "tree": 0, "key": [bytes(10)] * len(ids), "part": part})
+
+
+def test_a_region_cut_by_a_batch_is_crowded():
+    import pandas as pd
+
+    batches = [_forest_rows(range(9), 0), _forest_rows([9], 0)]
+    met = pd.concat(near_dedup._neighbour_pairs(5, 4, 8)(iter(batches)))
+    assert met["key"][met["edge"] == -1].notna().any()
+
+
+def test_seams_over_empty_and_short_partitions(spark):
+    import pandas as pd
+
+    parts = [_forest_rows([0, 1], 0), _forest_rows([2], 1), _forest_rows([3, 4], 3)]
+    met = pd.concat([pd.concat(near_dedup._neighbour_pairs(5, 4, 8)(iter([rows]))) for rows in parts])
+    edges = met[met["edge"] >= 0].astype({"a": int, "b": int, "gap": int, "tree": int, "edge": int, "part": int, "place": int})
+    near = near_dedup._across_seams(spark.createDataFrame(edges.to_dict("records"), near_dedup._PAIR_SCHEMA), 4, 8)
+    pairs = sorted((r.a, r.b, r.gap) for r in near.collect())
+    assert pairs == [(0, 2, 2), (0, 3, 3), (0, 4, 4), (1, 2, 1), (1, 3, 2), (1, 4, 3), (2, 3, 1), (2, 4, 2)]
+
+
 def test_components(spark):
     chain = [(i + 1, i) for i in range(40)] + [(100, 103), (103, 101), (200, 200), (300, None)]
     found = {r.node: r.component for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
