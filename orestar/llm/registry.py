@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestar.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, quality, quotes, secret_scan, toxicity, url_filter
+from orestar.llm import (
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    mask_search,
+    mixing,
+    near_dedup,
+    periodic_runs,
+    quality,
+    quotes,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 from orestar.llm.sql_twins import TWINS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +86,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("digest")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.top_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_quality_classifier,
@@ -85,6 +106,8 @@ def queries() -> dict[str, Query]:
         op8_url_filter,
         op9_exact_dedup,
         op10_minhash_near_dedup,
+        op12_ranked_search,
+        op13_periodic_runs,
     ]
     return {query.__name__: query for query in found}
 

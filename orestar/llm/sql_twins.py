@@ -111,6 +111,28 @@ SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id, do
 FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
 """
 
+# Terms are runs of digits, ASCII letters and everything beyond ASCII.
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP12 = f"""
+WITH doc AS (
+  SELECT doc_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} AS t FROM documents
+), size AS (SELECT doc_id, CAST(len(t) AS BIGINT) AS n FROM doc WHERE len(t) > 0),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM size),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM doc) GROUP BY doc_id, term),
+asked AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS.format(_LOWER.format("coalesce(text, '')"))}) AS term FROM benchmark)
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, docs
+), score AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // words))))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN size USING (doc_id), whole GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM score WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 TWINS = {
     "op4_quotation_linking": OP4,
     "op3_benchmark_decontamination": OP3,
@@ -118,4 +140,5 @@ TWINS = {
     "op8_url_filter": OP8,
     "op9_exact_dedup": OP9,
     "op10_minhash_near_dedup": OP10,
+    "op12_ranked_search": OP12,
 }
