@@ -11,6 +11,7 @@ from orestar.llm import (
     decontamination,
     exact_dedup,
     line_dedup,
+    lm_scoring,
     mask_search,
     mixing,
     near_dedup,
@@ -86,6 +87,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("digest")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.language_scores(_table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_search.top_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -106,6 +111,7 @@ def queries() -> dict[str, Query]:
         op8_url_filter,
         op9_exact_dedup,
         op10_minhash_near_dedup,
+        op11_lm_scoring,
         op12_ranked_search,
         op13_periodic_runs,
     ]

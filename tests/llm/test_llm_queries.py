@@ -18,7 +18,7 @@ def connection(sf_dir):
 
 def test_all_are_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == [*range(1, 11), 12, 13]
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert driver.queries()["pipeline"]
 
 
@@ -27,7 +27,7 @@ def test_same_result(spark, sf_dir, connection, name):
     assert difference(registry.queries()[name](spark, sf_dir), connection, registry.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", ["op1_quality_classifier", "op2_toxicity", "op5_source_mixing", "op6_secret_scan", "op13_periodic_runs"])
+@pytest.mark.parametrize("name", ["op1_quality_classifier", "op2_toxicity", "op5_source_mixing", "op6_secret_scan", "op11_lm_scoring", "op13_periodic_runs"])
 def test_a_row_per_document(spark, sf_dir, name):
     ids = [r.doc_id for r in registry.queries()[name](spark, sf_dir).select("doc_id").collect()]
     assert sorted(ids) == list(range(200))
