@@ -6,9 +6,10 @@ alone, so a text's probability is a product over its strings of ``DEPTH`` + 1
 bytes ("grams"), and all work on the corpus is counting grams:
 
 1. Texts are gathered into chunks of bounded size. A chunk lists its distinct
-   grams and words with their counts in the training texts.
-2. Counts meet by gram. Grams with the same three nearest bytes are the subtrees
-   below these in all context trees; a task climbs many of them at once.
+   grams and words with their counts in the training texts, dealt into buckets by
+   a hash; there is a bucket for so many bytes of corpus.
+2. Counts meet by bucket. Grams with the same three nearest bytes are the
+   subtrees below these in all context trees; a task climbs many of them at once.
 3. The roots of the subtrees are the leaves of 255 small trees, one for each way
    a byte can have begun; each is climbed as one group of at most 2^24 rows.
 4. The price of each gram and of each word goes back to the chunks that list it,
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,11 +40,15 @@ from orestar.workspace import materialise
 DEPTH = 5
 NEAR = 3
 # Bytes and texts of a chunk at most, a longer text being one of its own; bytes
-# whose grams are sorted at a time; grams whose trees are climbed at a time.
-CHUNK_BYTES = 32 << 20
+# whose grams are sorted at a time; grams whose trees are climbed at a time; bytes
+# of corpus for each bucket.
+CHUNK_BYTES = 16 << 20
 CHUNK_TEXTS = 1 << 16
-WINDOW = 4 << 20
+WINDOW = 2 << 20
 CLIMBED = 200_000
+BUCKET_BYTES = 64 << 20
+# Texts handed to Python at a time.
+BATCH_TEXTS = "1000"
 END = 0x0A
 # Fixed values of the word model: the added count, and the texts kept aside.
 ADDED = 0.1
@@ -83,26 +89,32 @@ def grams(texts: pa.Array, depth: int = DEPTH) -> Iterator[tuple[np.ndarray, np.
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with the sums of their counts."""
     key, which = np.unique(np.concatenate(keys), return_inverse=True)
     return key, np.bincount(which, np.concatenate(counts), len(key)).astype(np.int64)
 
 
-class _Chunk:
-    """Texts gathered so far, with the counts of their grams and words."""
+def _bucket_of_grams(gram: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = gram * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(8)) % np.uint64(buckets)
+
 
-    def __init__(self, depth: int):
-        self.depth = depth
-        self.ids, self.held, self.texts = [], [], []
-        self.grams, self.gram_counts, self.words = [], [], []
+class _Chunk:
+    """Texts gathered so far, with the counts of their grams and words in training texts."""
+
+    def __init__(self, depth: int, buckets: int):
+        self.depth, self.buckets = depth, buckets
+        self.texts: list[pa.Table] = []
+        self.grams: list[np.ndarray] = []
+        self.gram_counts: list[np.ndarray] = []
+        self.words: list[pa.Table] = []
         self.bytes = self.rows = 0
 
     def add(self, ids: pa.Array, texts: pa.Array) -> None:
         held = np.array([is_held_out(i) for i in ids.to_pylist()], bool)
         words = words_of(texts)
         joined = words.joined(np.arange(words.first[-1]), words.per_text)
-        self.ids.append(ids)
-        self.held.append(held)
-        self.texts.append(joined)
+        self.texts.append(pa.table({"id": ids, "held": pa.array(held), "text": joined}))
         self.rows += len(ids)
         self.bytes += pc.sum(pc.binary_length(joined)).as_py() or 0
         for code, owner in grams(joined, self.depth):
@@ -114,38 +126,56 @@ class _Chunk:
         learned = np.repeat(~held, words.per_text)
         counts = np.bincount(found.indices.to_numpy(), learned, len(found.dictionary)).astype(np.int64)
         # The empty word is the end of a text.
-        self.words.append(pa.table({"word": found.dictionary, "n": pa.array(counts)}))
-        self.words.append(pa.table({"word": pa.array([b""]), "n": pa.array([int((~held).sum())])}))
+        self.words.append(pa.table({"word": found.dictionary, "n": counts}))
+        self.words.append(pa.table({"word": pa.array([b""]), "n": [int((~held).sum())]}))
+        if len(self.grams) > 8:
+            self._merge()
 
-    def rows_out(self, number: int) -> Iterator[pa.RecordBatch]:
-        yield from _rows(number, id=pa.concat_arrays(self.ids), text=pa.concat_arrays(self.texts), held=pa.array(np.concatenate(self.held)))
-        gram, n = _summed(self.grams, self.gram_counts)
-        yield from _rows(number, gram=pa.array(gram.astype(np.int64)), n=pa.array(n))
+    def _merge(self) -> None:
+        self.grams, self.gram_counts = ([x] for x in _summed(self.grams, self.gram_counts))
         words = pa.concat_tables(self.words).group_by("word").aggregate([("n", "sum")])
-        yield from _rows(number, word=words["word"].combine_chunks(), n=words["n_sum"].combine_chunks())
+        self.words = [words.rename_columns({"n_sum": "n"}).select(["word", "n"])]
+
+    def rows_out(self, number: int) -> Iterator[pa.RecordBatch]:
+        texts = pa.concat_tables(self.texts)
+        for part in texts.to_batches(max_chunksize=int(BATCH_TEXTS)):
+            yield _counted(number, part.num_rows, **dict(zip(part.schema.names, part.columns)))
+        self._merge()
+        gram, n = self.grams[0], self.gram_counts[0]
+        yield self._dealt(number, _bucket_of_grams(gram, self.buckets), n, lambda of: gram[of].tobytes(), "grams")
+        word, n = self.words[0]["word"].combine_chunks(), self.words[0]["n"].to_numpy()
+        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, word.to_pylist()), np.uint64, len(word))
+        yield self._dealt(number, hashed % np.uint64(self.buckets), n, lambda of: b" ".join(word.take(pa.array(of)).to_pylist()), "words")
 
+    def _dealt(self, number: int, bucket: np.ndarray, n: np.ndarray, packed, name: str) -> pa.RecordBatch:
+        order = np.argsort(bucket, kind="stable")
+        used, begins = np.unique(bucket[order], return_index=True)
+        parts = np.split(order, begins[1:])
+        lists = pa.array([packed(of) for of in parts], pa.binary())
+        counts = pa.array([n[of].tobytes() for of in parts], pa.binary())
+        return _counted(number, len(used), bucket=pa.array(used.astype(np.int64)), counts=counts, **{name: lists})
 
-_COUNTED = "chunk bigint, id bigint, held boolean, text binary, gram bigint, word binary, n bigint"
-_TYPES = {"id": pa.int64(), "held": pa.bool_(), "text": pa.binary(), "gram": pa.int64(), "word": pa.binary(), "n": pa.int64()}
 
+_COUNTED = "chunk bigint, id bigint, held boolean, text binary, bucket bigint, grams binary, words binary, counts binary"
 
-def _rows(number: int, **given: pa.Array) -> Iterator[pa.RecordBatch]:
-    size = len(next(iter(given.values())))
-    columns = {name: given.get(name, pa.nulls(size, kind)).cast(kind) for name, kind in _TYPES.items()}
-    table = pa.table({"chunk": pa.array(np.full(size, number)), **columns})
-    yield from table.to_batches(max_chunksize=100_000)
 
+def _counted(number: int, size: int, **given: pa.Array) -> pa.RecordBatch:
+    kinds = {"id": pa.int64(), "held": pa.bool_(), "text": pa.binary(), "bucket": pa.int64()}
+    kinds |= dict.fromkeys(("grams", "words", "counts"), pa.binary())
+    columns = [given.get(name, pa.nulls(size, kind)) for name, kind in kinds.items()]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *columns], names=["chunk", *kinds])
 
-def _count(depth: int):
+
+def _count(depth: int, buckets: int):
     """Texts as they will be scored, and each chunk's lists; chunks are numbered by task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, chunk = TaskContext.get().partitionId() << 32, _Chunk(depth)
+        number, chunk = TaskContext.get().partitionId() << 32, _Chunk(depth, buckets)
         for batch in batches:
             for part in sized_slices(batch, "text", WINDOW):
                 if chunk.rows and (chunk.bytes >= CHUNK_BYTES or chunk.rows + part.num_rows > CHUNK_TEXTS):
                     yield from chunk.rows_out(number)
-                    number, chunk = number + 1, _Chunk(depth)
+                    number, chunk = number + 1, _Chunk(depth, buckets)
                 chunk.add(part.column("id"), part.column("text"))
         if chunk.rows:
             yield from chunk.rows_out(number)
@@ -153,26 +183,77 @@ def _count(depth: int):
     return count
 
 
-def _by_near(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted (gram, n) of whole groups of the nearest bytes, ``CLIMBED`` rows or one group at a time."""
+def _unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
+
+
+def _sum_grams(lists: pa.Table) -> pa.Table:
+    """A bucket's distinct grams with their counts in all chunks."""
+    gram, n = _summed(_unpacked(lists["grams"], np.uint64), _unpacked(lists["counts"], np.int64))
+    return pa.table({"bucket": np.full(len(gram), lists["bucket"][0].as_py()), "gram": gram.astype(np.int64), "n": n})
+
+
+def _word_counts(lists: pa.Table) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words listed in a bucket, as codes, and the counts of the different ones in all chunks."""
+    code = pa.array([w for x in lists["words"] for w in x.as_py().split(b" ")], pa.binary()).dictionary_encode()
+    n = np.concatenate(_unpacked(lists["counts"], np.int64))
+    return code, np.bincount(code.indices.to_numpy(), n, len(code.dictionary)).astype(np.int64)
+
+
+def _sum_words(lists: pa.Table) -> pa.Table:
+    """A bucket's training tokens, and how many of them are different."""
+    _, counts = _word_counts(lists)
+    return pa.table({"tokens": [int(counts.sum())], "distinct": [int((counts > 0).sum())]})
+
+
+def _price_words(tokens: int, distinct: int):
+    """For each chunk's list the log10 probabilities of its words, and whether they are in training texts."""
+
+    def price(lists: pa.Table) -> pa.Table:
+        code, counts = _word_counts(lists)
+        n = counts[code.indices.to_numpy()]
+        worth = np.log10((n + ADDED) / (tokens + ADDED * (distinct + 1)))
+        cuts = np.cumsum([x.as_py().count(b" ") + 1 for x in lists["words"]])[:-1]
+        packed = {"prices": np.split(worth, cuts), "seen": np.split(n > 0, cuts)}
+        columns = {c: pa.array([x.tobytes() for x in parts], pa.binary()) for c, parts in packed.items()}
+        return pa.table({"chunk": lists["chunk"], "grams": pa.nulls(len(lists), pa.binary()), "words": lists["words"], **columns})
+
+    return price
+
+
+def _price_grams(lists: pa.Table, priced: pa.Table) -> pa.Table:
+    """For each chunk's list the prices of its grams."""
+    gram = priced["gram"].to_numpy().astype(np.uint64)
+    order = np.argsort(gram)
+    gram, price = gram[order], priced["price"].to_numpy()[order]
+    parts = [price[np.searchsorted(gram, own)].tobytes() for own in _unpacked(lists["grams"], np.uint64)]
+    nothing = pa.nulls(len(lists), pa.binary())
+    return pa.table({"chunk": lists["chunk"], "grams": lists["grams"], "words": nothing, "prices": pa.array(parts, pa.binary()), "seen": nothing})
+
+
+_PRICED = "chunk bigint, grams binary, words binary, prices binary, seen binary"
+
+
+def _by_near(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Sorted (gram, n, bucket) of whole groups of the nearest bytes, ``CLIMBED`` rows or one group at a time."""
     shift = np.uint64(8 * (depth + 1 - NEAR))
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
     rows = 0
     for batch in batches:
-        held.append((batch.column("gram").to_numpy().astype(np.uint64), batch.column("n").to_numpy().astype(np.float64)))
+        gram, n, bucket = (batch.column(c).to_numpy() for c in ("gram", "n", "bucket"))
+        held.append((gram.astype(np.uint64), n.astype(np.float64), bucket))
         rows += batch.num_rows
         if rows >= CLIMBED:
-            gram, n = (np.concatenate(x) for x in zip(*held))
-            cut = np.searchsorted(gram >> shift, gram[-1] >> shift)
+            columns = [np.concatenate(x) for x in zip(*held)]
+            cut = np.searchsorted(columns[0] >> shift, columns[0][-1] >> shift)
             if cut:
-                yield gram[:cut], n[:cut]
-                gram, n = gram[cut:], n[cut:]
-            held, rows = [(gram, n)], len(gram)
+                yield tuple(c[:cut] for c in columns)
+            held, rows = [tuple(c[cut:] for c in columns)], rows - cut
     if rows:
         yield tuple(np.concatenate(x) for x in zip(*held))
 
 
-_CLIMBED = "near bigint, gram bigint, p array<double>, node int, zeros double, ones double, weighted double"
+_CLIMBED = "near bigint, bucket bigint, gram bigint, p array<double>, node int, zeros double, ones double, weighted double"
 
 
 def _climb_far(depth: int):
@@ -180,7 +261,7 @@ def _climb_far(depth: int):
     far = 8 * (depth - NEAR)
 
     def climb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, n in _by_near(batches, depth):
+        for gram, n, bucket in _by_near(batches, depth):
             byte, rest = gram & np.uint64(0xFF), (gram >> np.uint64(8)) & np.uint64((1 << far) - 1)
             near = gram >> np.uint64(8 + far)
             p = np.empty((len(gram), BITS))
@@ -194,13 +275,14 @@ def _climb_far(depth: int):
                     zeros=tree.zeros, ones=tree.ones, weighted=tree.log_weighted,
                 )
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(gram) + 1) * BITS, pa.int32()), pa.array(p.ravel()))
-            yield _climbed(near=near, gram=gram.astype(np.int64), p=lists)
+            yield _climbed(near=near, bucket=bucket, gram=gram.astype(np.int64), p=lists)
 
     return climb
 
 
 def _climbed(**given) -> pa.RecordBatch:
-    kinds = {"near": pa.int64(), "gram": pa.int64(), "p": pa.list_(pa.float64()), "node": pa.int32(), "zeros": pa.float64(), "ones": pa.float64(), "weighted": pa.float64()}
+    kinds = dict.fromkeys(("near", "bucket", "gram"), pa.int64()) | {"p": pa.list_(pa.float64()), "node": pa.int32()}
+    kinds |= dict.fromkeys(("zeros", "ones", "weighted"), pa.float64())
     size = len(given["near"])
     given["near"] = given["near"].astype(np.int64)
     columns = [pa.array(given[c], kinds[c]) if isinstance(given.get(c), np.ndarray) else given.get(c, pa.nulls(size, kinds[c])) for c in kinds]
@@ -218,20 +300,20 @@ def _climb_near(roots: pa.Table) -> pa.Table:
 
 
 def prices(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, price): the log10 probability of each gram's byte after the others, from (gram, n)."""
+    """(bucket, gram, price): the log10 probability of each gram's byte after the others, from (bucket, gram, n)."""
     near = F.shiftright("gram", 8 * (depth + 1 - NEAR))
-    grouped = counts.select("gram", "n", near.alias("near")).repartition("near").sortWithinPartitions("gram").select("gram", "n")
+    grouped = counts.withColumn("near", near).repartition("near").sortWithinPartitions("gram").select("gram", "n", "bucket")
     climbed = materialise(grouped.mapInArrow(_climb_far(depth), _CLIMBED), "lm_trees")
     roots = climbed.where("node IS NOT NULL").select("near", "node", "zeros", "ones", "weighted")
     tops = roots.groupBy("node").applyInArrow(_climb_near, "near bigint, node int, fixed double, share double")
     # At most 255 entries.
     tops = tops.groupBy("near").agg(F.map_from_entries(F.collect_list(F.struct("node", F.struct("fixed", "share")))).alias("top"))
-    met = climbed.where("gram IS NOT NULL").select("near", "gram", "p").join(tops, "near")
+    met = climbed.where("gram IS NOT NULL").select("near", "bucket", "gram", "p").join(tops, "near")
     byte = "CAST(gram & 255 AS int)"
     nodes = f"transform(sequence(0, {BITS - 1}), j -> top[shiftleft(1, j) | shiftright({byte}, {BITS} - j)])"
     chance = f"transform(tops, (t, j) -> if(shiftright({byte}, {BITS - 1} - j) & 1 = 1, t.fixed + t.share * p[j], 1 - t.fixed - t.share * p[j]))"
-    met = met.withColumn("tops", F.expr(nodes)).select("gram", F.expr(chance).alias("chance"))
-    return met.select("gram", F.expr("aggregate(chance, 0D, (s, x) -> s + log10(x))").alias("price"))
+    met = met.withColumn("tops", F.expr(nodes)).select("bucket", "gram", F.expr(chance).alias("chance"))
+    return met.select("bucket", "gram", F.expr("aggregate(chance, 0D, (s, x) -> s + log10(x))").alias("price"))
 
 
 _SCORED = "id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double"
@@ -242,12 +324,13 @@ def _score_chunk(depth: int):
 
     def score(texts: pa.Table, listed: pa.Table) -> pa.Table:
         held = texts["text"].combine_chunks()
-        is_gram = pc.is_valid(listed["gram"])
-        gram_rows, word_rows = listed.filter(is_gram), listed.filter(pc.invert(is_gram))
-        known, which = np.unique(gram_rows["gram"].to_numpy().astype(np.uint64), return_index=True)
-        price = gram_rows["price"].to_numpy()[which]
-        names = word_rows["word"].combine_chunks()
-        worth, seen = word_rows["price"].to_numpy(), word_rows["seen"].to_numpy()
+        of_grams = listed.filter(pc.is_valid(listed["grams"]))
+        of_words = listed.filter(pc.is_valid(listed["words"]))
+        known = np.concatenate(_unpacked(of_grams["grams"], np.uint64))
+        order = np.argsort(known)
+        known, price = known[order], np.concatenate(_unpacked(of_grams["prices"], np.float64))[order]
+        names = pa.array([w for x in of_words["words"] for w in x.as_py().split(b" ")], pa.binary())
+        worth, seen = (np.concatenate(_unpacked(of_words[c], kind)) for c, kind in (("prices", np.float64), ("seen", bool)))
         end = pc.index(names, pa.scalar(b"", pa.binary())).as_py()
         sums = {"n_tokens": [], "n_known": [], "base": [], "score": []}
         for part in sized_slices(pa.RecordBatch.from_arrays([held], names=["text"]), "text", WINDOW):
@@ -288,19 +371,22 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if not NEAR <= depth <= DEPTH:
         raise ValueError(f"a depth of {NEAR} to {DEPTH} bytes")
+    spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_TEXTS)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    counted = materialise(rows.mapInArrow(_count(depth), _COUNTED), "lm_counted")
-    gram_rows = counted.where("gram IS NOT NULL").select("chunk", "gram", "n")
-    word_rows = counted.where("word IS NOT NULL").select("chunk", "word", "n")
-    priced = prices(gram_rows.groupBy("gram").agg(F.sum("n").alias("n")), depth)
-    counts = materialise(word_rows.groupBy("word").agg(F.sum("n").alias("c")), "lm_words")
-    tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    worth = F.log10((F.col("c") + F.lit(ADDED)) / F.lit(tokens + ADDED * (distinct + 1)))
-    no_gram, no_word = F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("binary").alias("word")
-    listed = gram_rows.join(priced, "gram").select("chunk", "gram", no_word, "price", F.lit(False).alias("seen"))
-    words = word_rows.join(counts, "word").select("chunk", no_gram, "word", worth.alias("price"), (F.col("c") > 0).alias("seen"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
+    buckets = max(size // BUCKET_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counted = materialise(rows.mapInArrow(_count(depth, buckets), _COUNTED), "lm_counted")
+    of_grams = counted.where("grams IS NOT NULL").select("chunk", "bucket", "grams", "counts")
+    of_words = counted.where("words IS NOT NULL").select("chunk", "bucket", "words", "counts")
+    priced = prices(of_grams.groupBy("bucket").applyInArrow(_sum_grams, "bucket bigint, gram bigint, n bigint"), depth)
+    per_bucket = of_words.groupBy("bucket").applyInArrow(_sum_words, "tokens bigint, distinct bigint")
+    tokens, distinct = per_bucket.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    priced = priced.withColumnRenamed("bucket", "of_bucket")
+    listed = of_grams.groupBy("bucket").cogroup(priced.groupBy("of_bucket")).applyInArrow(_price_grams, _PRICED)
+    listed = listed.unionAll(of_words.groupBy("bucket").applyInArrow(_price_words(tokens, distinct), _PRICED))
     texts = counted.where("text IS NOT NULL").select(F.col("chunk").alias("of_chunk"), "id", "held", "text")
-    scored = texts.groupBy("of_chunk").cogroup(listed.unionAll(words).groupBy("chunk")).applyInArrow(_score_chunk(depth), _SCORED)
+    scored = texts.groupBy("of_chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_score_chunk(depth), _SCORED)
     return scored.select(
         F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"),
         F.col("base").alias("base_score"), "score",

@@ -125,6 +125,7 @@ def test_a_score_does_not_depend_on_chunks(spark, odd_docs, monkeypatch):
     monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 50)
     monkeypatch.setattr(lm_scoring, "WINDOW", 1000)
     monkeypatch.setattr(lm_scoring, "CLIMBED", 10)
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 3000)
     close(scored(odd_docs.repartition(3)), whole)
 
 
@@ -134,7 +135,7 @@ def test_chances_of_all_bytes_sum_to_one(spark):
               [(b"abc", 100, 5), (b"abc", 101, 1), (b"xbc", 100, 2), (b"\xffqq", 0, 9)]]
     for context in (b"abc", b"zbc", b"zzc", b"\n\n\n"):
         asked = [(int.from_bytes(context[::-1] + bytes([b]), "big"), 0) for b in range(256)]
-        grams = spark.createDataFrame(counts + asked, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+        grams = spark.createDataFrame(counts + asked, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"), F.lit(0).alias("bucket"))
         found = {r.gram: r.price for r in lm_scoring.prices(grams, 3).collect()}
         assert sum(10 ** found[g] for g, _ in asked) == pytest.approx(1, abs=1e-9)
 
