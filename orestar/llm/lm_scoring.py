@@ -137,12 +137,11 @@ class _Chunk:
         self.words = [words.rename_columns({"n_sum": "n"}).select(["word", "n"])]
 
     def rows_out(self, number: int) -> Iterator[pa.RecordBatch]:
-        texts = pa.concat_tables(self.texts)
-        for part in texts.to_batches(max_chunksize=int(BATCH_TEXTS)):
-            yield _counted(number, part.num_rows, **dict(zip(part.schema.names, part.columns)))
+        for part in pa.concat_tables(self.texts).combine_chunks().to_batches(max_chunksize=int(BATCH_TEXTS)):
+            yield _counted(number, 1, texts=pa.array([_packed_table(part)]))
         self._merge()
         gram, n = self.grams[0], self.gram_counts[0]
-        yield self._dealt(number, _bucket_of_grams(gram, self.buckets), n, lambda of: gram[of].tobytes(), "grams")
+        yield self._dealt(number, _bucket_of_grams(gram, self.buckets), n, lambda of: _packed(np.diff(gram[of], prepend=gram.dtype.type(0))), "grams")
         word, n = self.words[0]["word"].combine_chunks(), self.words[0]["n"].to_numpy()
         hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, word.to_pylist()), np.uint64, len(word))
         yield self._dealt(number, hashed % np.uint64(self.buckets), n, lambda of: b" ".join(word.take(pa.array(of)).to_pylist()), "words")
@@ -152,16 +151,31 @@ class _Chunk:
         used, begins = np.unique(bucket[order], return_index=True)
         parts = np.split(order, begins[1:])
         lists = pa.array([packed(of) for of in parts], pa.binary())
-        counts = pa.array([n[of].tobytes() for of in parts], pa.binary())
+        counts = pa.array([_packed(n[of]) for of in parts], pa.binary())
         return _counted(number, len(used), bucket=pa.array(used.astype(np.int64)), counts=counts, **{name: lists})
 
 
-_COUNTED = "chunk bigint, id bigint, held boolean, text binary, bucket bigint, grams binary, words binary, counts binary"
+_COUNTED = "chunk bigint, texts binary, bucket bigint, grams binary, words binary, counts binary"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Small numbers in few bytes once compressed: first the lowest byte of each, then the next."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpacked(packed: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed.as_buffer(), np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _packed_table(part: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(part)
+    return sink.getvalue().to_pybytes()
 
 
 def _counted(number: int, size: int, **given: pa.Array) -> pa.RecordBatch:
-    kinds = {"id": pa.int64(), "held": pa.bool_(), "text": pa.binary(), "bucket": pa.int64()}
-    kinds |= dict.fromkeys(("grams", "words", "counts"), pa.binary())
+    kinds = {"texts": pa.binary(), "bucket": pa.int64()} | dict.fromkeys(("grams", "words", "counts"), pa.binary())
     columns = [given.get(name, pa.nulls(size, kind)) for name, kind in kinds.items()]
     return pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *columns], names=["chunk", *kinds])
 
@@ -183,20 +197,17 @@ def _count(depth: int, buckets: int):
     return count
 
 
-def _unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), kind) for x in column]
-
-
 def _sum_grams(lists: pa.Table) -> pa.Table:
     """A bucket's distinct grams with their counts in all chunks."""
-    gram, n = _summed(_unpacked(lists["grams"], np.uint64), _unpacked(lists["counts"], np.int64))
+    grams_listed = [np.cumsum(_unpacked(x)) for x in lists["grams"]]
+    gram, n = _summed(grams_listed, [_unpacked(x) for x in lists["counts"]])
     return pa.table({"bucket": np.full(len(gram), lists["bucket"][0].as_py()), "gram": gram.astype(np.int64), "n": n})
 
 
 def _word_counts(lists: pa.Table) -> tuple[pa.DictionaryArray, np.ndarray]:
     """All words listed in a bucket, as codes, and the counts of the different ones in all chunks."""
     code = pa.array([w for x in lists["words"] for w in x.as_py().split(b" ")], pa.binary()).dictionary_encode()
-    n = np.concatenate(_unpacked(lists["counts"], np.int64))
+    n = np.concatenate([_unpacked(x) for x in lists["counts"]])
     return code, np.bincount(code.indices.to_numpy(), n, len(code.dictionary)).astype(np.int64)
 
 
@@ -216,22 +227,22 @@ def _price_words(tokens: int, distinct: int):
         cuts = np.cumsum([x.as_py().count(b" ") + 1 for x in lists["words"]])[:-1]
         packed = {"prices": np.split(worth, cuts), "seen": np.split(n > 0, cuts)}
         columns = {c: pa.array([x.tobytes() for x in parts], pa.binary()) for c, parts in packed.items()}
-        return pa.table({"chunk": lists["chunk"], "grams": pa.nulls(len(lists), pa.binary()), "words": lists["words"], **columns})
+        return pa.table({"chunk": lists["chunk"], "bucket": lists["bucket"], "words": lists["words"], **columns})
 
     return price
 
 
 def _price_grams(lists: pa.Table, priced: pa.Table) -> pa.Table:
-    """For each chunk's list the prices of its grams."""
+    """For each chunk's list the prices of its grams, which the chunk knows itself."""
     gram = priced["gram"].to_numpy().astype(np.uint64)
     order = np.argsort(gram)
     gram, price = gram[order], priced["price"].to_numpy()[order]
-    parts = [price[np.searchsorted(gram, own)].tobytes() for own in _unpacked(lists["grams"], np.uint64)]
+    parts = [price[np.searchsorted(gram, np.cumsum(_unpacked(x)))].tobytes() for x in lists["grams"]]
     nothing = pa.nulls(len(lists), pa.binary())
-    return pa.table({"chunk": lists["chunk"], "grams": lists["grams"], "words": nothing, "prices": pa.array(parts, pa.binary()), "seen": nothing})
+    return pa.table({"chunk": lists["chunk"], "bucket": lists["bucket"], "words": nothing, "prices": pa.array(parts, pa.binary()), "seen": nothing})
 
 
-_PRICED = "chunk bigint, grams binary, words binary, prices binary, seen binary"
+_PRICED = "chunk bigint, bucket bigint, words binary, prices binary, seen binary"
 
 
 def _by_near(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -319,42 +330,62 @@ def prices(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 _SCORED = "id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double"
 
 
-def _score_chunk(depth: int):
+def _score_chunk(depth: int, buckets: int):
     """Scores of a chunk's texts from the prices of the grams and words it lists."""
 
-    def score(texts: pa.Table, listed: pa.Table) -> pa.Table:
-        held = texts["text"].combine_chunks()
-        of_grams = listed.filter(pc.is_valid(listed["grams"]))
+    def score(packed: pa.Table, listed: pa.Table) -> pa.Table:
+        texts = pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed["texts"]]).combine_chunks()
+        joined = texts["text"].combine_chunks()
         of_words = listed.filter(pc.is_valid(listed["words"]))
-        known = np.concatenate(_unpacked(of_grams["grams"], np.uint64))
-        order = np.argsort(known)
-        known, price = known[order], np.concatenate(_unpacked(of_grams["prices"], np.float64))[order]
+        of_grams = listed.filter(pc.is_null(listed["words"])).sort_by("bucket")
+        total = _gram_scores(joined, np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in of_grams["prices"]]), depth, buckets)
         names = pa.array([w for x in of_words["words"] for w in x.as_py().split(b" ")], pa.binary())
-        worth, seen = (np.concatenate(_unpacked(of_words[c], kind)) for c, kind in (("prices", np.float64), ("seen", bool)))
+        worth, seen = (
+            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in of_words[c]]) for c, kind in (("prices", np.float64), ("seen", bool))
+        )
         end = pc.index(names, pa.scalar(b"", pa.binary())).as_py()
-        sums = {"n_tokens": [], "n_known": [], "base": [], "score": []}
-        for part in sized_slices(pa.RecordBatch.from_arrays([held], names=["text"]), "text", WINDOW):
-            own = part.column("text")
-            total = np.zeros(len(own))
-            for code, owner in grams(own, depth):
-                both, count = np.unique((code << np.uint64(16)) | owner.astype(np.uint64), return_counts=True)
-                code = both >> np.uint64(16)
-                new = np.ones(len(code), bool)
-                new[1:] = code[1:] != code[:-1]
-                value = price[np.searchsorted(known, code[new])][np.cumsum(new) - 1]
-                total += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), count * value, len(own))
-            words = words_of(own)
+        base, known, n = [], [], []
+        for part, _ in _slices(joined):
+            words = words_of(part)
             code = pc.index_in(words.each, names).to_numpy() if len(words.each) else np.empty(0, np.int64)
-            owner = np.repeat(np.arange(len(own)), words.per_text)
-            sums["score"].append(total)
-            sums["n_tokens"].append(words.per_text + 1)
-            sums["base"].append(np.bincount(owner, worth[code], len(own)) + worth[end])
-            sums["n_known"].append(np.bincount(owner, seen[code], len(own)).astype(np.int64) + int(seen[end]))
-        return pa.table({"id": texts["id"], "held": texts["held"], **{c: np.concatenate(x) for c, x in sums.items()}})
+            owner = np.repeat(np.arange(len(part)), words.per_text)
+            n.append(words.per_text + 1)
+            base.append(np.bincount(owner, worth[code], len(part)) + worth[end])
+            known.append(np.bincount(owner, seen[code], len(part)).astype(np.int64) + int(seen[end]))
+        sums = {"n_tokens": np.concatenate(n), "n_known": np.concatenate(known), "base": np.concatenate(base), "score": total}
+        return pa.table({"id": texts["id"], "held": texts["held"], **sums})
 
     return score
 
 
+def _gram_scores(texts: pa.Array, price: np.ndarray, depth: int, buckets: int) -> np.ndarray:
+    """Sums of the prices of each text's grams; prices are in the order of the chunk's grams by bucket."""
+    pairs, counts = [], []
+    for part, first in _slices(texts):
+        for code, owner in grams(part, depth):
+            both, count = np.unique((code << np.uint64(16)) | (owner + first).astype(np.uint64), return_counts=True)
+            pairs.append(both)
+            counts.append(count)
+    gram = np.unique(np.concatenate([both >> np.uint64(16) for both in pairs]))
+    by_gram = np.empty(len(gram))
+    by_gram[np.argsort(_bucket_of_grams(gram, buckets), kind="stable")] = price
+    total = np.zeros(len(texts))
+    for both, count in zip(pairs, counts):
+        code = both >> np.uint64(16)
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
+        value = by_gram[np.searchsorted(gram, code[new])][np.cumsum(new) - 1]
+        total += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), count * value, len(texts))
+    return total
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[pa.Array, int]]:
+    first = 0
+    for part in sized_slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", WINDOW):
+        yield part.column("text"), first
+        first += part.num_rows
+
+
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
@@ -378,15 +409,16 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = max(size // BUCKET_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counted = materialise(rows.mapInArrow(_count(depth, buckets), _COUNTED), "lm_counted")
     of_grams = counted.where("grams IS NOT NULL").select("chunk", "bucket", "grams", "counts")
+    own_grams = of_grams.select("chunk", "bucket", "grams")
     of_words = counted.where("words IS NOT NULL").select("chunk", "bucket", "words", "counts")
     priced = prices(of_grams.groupBy("bucket").applyInArrow(_sum_grams, "bucket bigint, gram bigint, n bigint"), depth)
     per_bucket = of_words.groupBy("bucket").applyInArrow(_sum_words, "tokens bigint, distinct bigint")
     tokens, distinct = per_bucket.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     priced = priced.withColumnRenamed("bucket", "of_bucket")
-    listed = of_grams.groupBy("bucket").cogroup(priced.groupBy("of_bucket")).applyInArrow(_price_grams, _PRICED)
+    listed = own_grams.groupBy("bucket").cogroup(priced.groupBy("of_bucket")).applyInArrow(_price_grams, _PRICED)
     listed = listed.unionAll(of_words.groupBy("bucket").applyInArrow(_price_words(tokens, distinct), _PRICED))
-    texts = counted.where("text IS NOT NULL").select(F.col("chunk").alias("of_chunk"), "id", "held", "text")
-    scored = texts.groupBy("of_chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_score_chunk(depth), _SCORED)
+    texts = counted.where("texts IS NOT NULL").select(F.col("chunk").alias("of_chunk"), "texts")
+    scored = texts.groupBy("of_chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_score_chunk(depth, buckets), _SCORED)
     return scored.select(
         F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"),
         F.col("base").alias("base_score"), "score",
