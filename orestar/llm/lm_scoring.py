@@ -42,7 +42,7 @@ NEAR = 3
 # Bytes and texts of a chunk at most, a longer text being one of its own; bytes
 # whose grams are sorted at a time; grams whose trees are climbed at a time; bytes
 # of corpus for each bucket.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 32 << 20
 CHUNK_TEXTS = 1 << 16
 WINDOW = 2 << 20
 CLIMBED = 200_000
@@ -217,19 +217,14 @@ def _sum_words(lists: pa.Table) -> pa.Table:
     return pa.table({"tokens": [int(counts.sum())], "distinct": [int((counts > 0).sum())]})
 
 
-def _price_words(tokens: int, distinct: int):
-    """For each chunk's list the log10 probabilities of its words, and whether they are in training texts."""
-
-    def price(lists: pa.Table) -> pa.Table:
-        code, counts = _word_counts(lists)
-        n = counts[code.indices.to_numpy()]
-        worth = np.log10((n + ADDED) / (tokens + ADDED * (distinct + 1)))
-        cuts = np.cumsum([x.as_py().count(b" ") + 1 for x in lists["words"]])[:-1]
-        packed = {"prices": np.split(worth, cuts), "seen": np.split(n > 0, cuts)}
-        columns = {c: pa.array([x.tobytes() for x in parts], pa.binary()) for c, parts in packed.items()}
-        return pa.table({"chunk": lists["chunk"], "bucket": lists["bucket"], "words": lists["words"], **columns})
-
-    return price
+def _return_words(lists: pa.Table) -> pa.Table:
+    """For each chunk's list the counts of its words in all chunks."""
+    code, counts = _word_counts(lists)
+    sizes = [x.as_py().count(b" ") + 1 for x in lists["words"]]
+    parts = np.split(counts[code.indices.to_numpy()], np.cumsum(sizes)[:-1])
+    nothing = pa.nulls(len(lists), pa.binary())
+    counts = pa.array([_packed(n) for n in parts], pa.binary())
+    return pa.table({"chunk": lists["chunk"], "bucket": lists["bucket"], "words": lists["words"], "counts": counts, "prices": nothing})
 
 
 def _price_grams(lists: pa.Table, priced: pa.Table) -> pa.Table:
@@ -239,10 +234,10 @@ def _price_grams(lists: pa.Table, priced: pa.Table) -> pa.Table:
     gram, price = gram[order], priced["price"].to_numpy()[order]
     parts = [price[np.searchsorted(gram, np.cumsum(_unpacked(x)))].tobytes() for x in lists["grams"]]
     nothing = pa.nulls(len(lists), pa.binary())
-    return pa.table({"chunk": lists["chunk"], "bucket": lists["bucket"], "words": nothing, "prices": pa.array(parts, pa.binary()), "seen": nothing})
+    return pa.table({"chunk": lists["chunk"], "bucket": lists["bucket"], "words": nothing, "counts": nothing, "prices": pa.array(parts, pa.binary())})
 
 
-_PRICED = "chunk bigint, bucket bigint, words binary, prices binary, seen binary"
+_PRICED = "chunk bigint, bucket bigint, words binary, counts binary, prices binary"
 
 
 def _by_near(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -330,7 +325,7 @@ def prices(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 _SCORED = "id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double"
 
 
-def _score_chunk(depth: int, buckets: int):
+def _score_chunk(depth: int, buckets: int, tokens: int, distinct: int):
     """Scores of a chunk's texts from the prices of the grams and words it lists."""
 
     def score(packed: pa.Table, listed: pa.Table) -> pa.Table:
@@ -340,9 +335,8 @@ def _score_chunk(depth: int, buckets: int):
         of_grams = listed.filter(pc.is_null(listed["words"])).sort_by("bucket")
         total = _gram_scores(joined, np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in of_grams["prices"]]), depth, buckets)
         names = pa.array([w for x in of_words["words"] for w in x.as_py().split(b" ")], pa.binary())
-        worth, seen = (
-            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in of_words[c]]) for c, kind in (("prices", np.float64), ("seen", bool))
-        )
+        n_all = np.concatenate([_unpacked(x) for x in of_words["counts"]]).astype(np.int64)
+        worth, seen = np.log10((n_all + ADDED) / (tokens + ADDED * (distinct + 1))), n_all > 0
         end = pc.index(names, pa.scalar(b"", pa.binary())).as_py()
         base, known, n = [], [], []
         for part, _ in _slices(joined):
@@ -360,22 +354,24 @@ def _score_chunk(depth: int, buckets: int):
 
 def _gram_scores(texts: pa.Array, price: np.ndarray, depth: int, buckets: int) -> np.ndarray:
     """Sums of the prices of each text's grams; prices are in the order of the chunk's grams by bucket."""
-    pairs, counts = [], []
-    for part, first in _slices(texts):
-        for code, owner in grams(part, depth):
-            both, count = np.unique((code << np.uint64(16)) | (owner + first).astype(np.uint64), return_counts=True)
-            pairs.append(both)
-            counts.append(count)
-    gram = np.unique(np.concatenate([both >> np.uint64(16) for both in pairs]))
+    # The texts are gone through twice, so that a window is all that is held.
+    gram = np.empty(0, np.uint64)
+    for part, _ in _slices(texts):
+        for code, _ in grams(part, depth):
+            gram = np.union1d(gram, code)
     by_gram = np.empty(len(gram))
     by_gram[np.argsort(_bucket_of_grams(gram, buckets), kind="stable")] = price
     total = np.zeros(len(texts))
-    for both, count in zip(pairs, counts):
-        code = both >> np.uint64(16)
-        new = np.ones(len(code), bool)
-        new[1:] = code[1:] != code[:-1]
-        value = by_gram[np.searchsorted(gram, code[new])][np.cumsum(new) - 1]
-        total += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), count * value, len(texts))
+    for part, first in _slices(texts):
+        own = np.zeros(len(part))
+        for code, owner in grams(part, depth):
+            both, count = np.unique((code << np.uint64(16)) | owner.astype(np.uint64), return_counts=True)
+            code = both >> np.uint64(16)
+            new = np.ones(len(code), bool)
+            new[1:] = code[1:] != code[:-1]
+            value = by_gram[np.searchsorted(gram, code[new])][np.cumsum(new) - 1]
+            own += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), count * value, len(part))
+        total[first : first + len(part)] = own
     return total
 
 
@@ -416,9 +412,9 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tokens, distinct = per_bucket.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     priced = priced.withColumnRenamed("bucket", "of_bucket")
     listed = own_grams.groupBy("bucket").cogroup(priced.groupBy("of_bucket")).applyInArrow(_price_grams, _PRICED)
-    listed = listed.unionAll(of_words.groupBy("bucket").applyInArrow(_price_words(tokens, distinct), _PRICED))
+    listed = listed.unionAll(of_words.groupBy("bucket").applyInArrow(_return_words, _PRICED))
     texts = counted.where("texts IS NOT NULL").select(F.col("chunk").alias("of_chunk"), "texts")
-    scored = texts.groupBy("of_chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_score_chunk(depth, buckets), _SCORED)
+    scored = texts.groupBy("of_chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_score_chunk(depth, buckets, tokens, distinct), _SCORED)
     return scored.select(
         F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"),
         F.col("base").alias("base_score"), "score",
