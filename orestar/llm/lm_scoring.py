@@ -88,6 +88,12 @@ def grams(texts: pa.Array, depth: int = DEPTH) -> Iterator[tuple[np.ndarray, np.
         yield (code << np.uint64(8)) | part[at], owner
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted; faster than a hash table where most keys repeat."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order with the sums of their counts."""
     key, which = np.unique(np.concatenate(keys), return_inverse=True)
@@ -358,7 +364,7 @@ def _gram_scores(texts: pa.Array, price: np.ndarray, depth: int, buckets: int) -
     gram = np.empty(0, np.uint64)
     for part, _ in _slices(texts):
         for code, _ in grams(part, depth):
-            gram = np.union1d(gram, code)
+            gram = _distinct(np.append(gram, _distinct(code)))
     by_gram = np.empty(len(gram))
     by_gram[np.argsort(_bucket_of_grams(gram, buckets), kind="stable")] = price
     total = np.zeros(len(texts))
