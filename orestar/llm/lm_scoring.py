@@ -39,12 +39,11 @@ from orestar.workspace import materialise
 # Bytes of context. The nearest three are climbed apart from the others.
 DEPTH = 5
 NEAR = 3
-# Bytes and texts of a chunk at most, a longer text being one of its own; bytes
+# Bytes of a chunk, a longer text being one of its own; bytes
 # whose grams are sorted at a time; grams whose trees are climbed at a time; bytes
 # of corpus for each bucket.
 CHUNK_BYTES = 32 << 20
-CHUNK_TEXTS = 1 << 16
-WINDOW = 2 << 20
+WINDOW = 1 << 20
 CLIMBED = 200_000
 BUCKET_BYTES = 64 << 20
 # Texts handed to Python at a time.
@@ -114,14 +113,13 @@ class _Chunk:
         self.grams: list[np.ndarray] = []
         self.gram_counts: list[np.ndarray] = []
         self.words: list[pa.Table] = []
-        self.bytes = self.rows = 0
+        self.bytes = 0
 
     def add(self, ids: pa.Array, texts: pa.Array) -> None:
         held = np.array([is_held_out(i) for i in ids.to_pylist()], bool)
         words = words_of(texts)
         joined = words.joined(np.arange(words.first[-1]), words.per_text)
         self.texts.append(pa.table({"id": ids, "held": pa.array(held), "text": joined}))
-        self.rows += len(ids)
         self.bytes += pc.sum(pc.binary_length(joined)).as_py() or 0
         for code, owner in grams(joined, self.depth):
             key, count = np.unique((code << np.uint64(1)) | held[owner], return_counts=True)
@@ -193,11 +191,11 @@ def _count(depth: int, buckets: int):
         number, chunk = TaskContext.get().partitionId() << 32, _Chunk(depth, buckets)
         for batch in batches:
             for part in sized_slices(batch, "text", WINDOW):
-                if chunk.rows and (chunk.bytes >= CHUNK_BYTES or chunk.rows + part.num_rows > CHUNK_TEXTS):
+                if chunk.bytes >= CHUNK_BYTES:
                     yield from chunk.rows_out(number)
                     number, chunk = number + 1, _Chunk(depth, buckets)
                 chunk.add(part.column("id"), part.column("text"))
-        if chunk.rows:
+        if chunk.texts:
             yield from chunk.rows_out(number)
 
     return count
@@ -335,57 +333,59 @@ def _score_chunk(depth: int, buckets: int, tokens: int, distinct: int):
     """Scores of a chunk's texts from the prices of the grams and words it lists."""
 
     def score(packed: pa.Table, listed: pa.Table) -> pa.Table:
-        texts = pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed["texts"]]).combine_chunks()
-        joined = texts["text"].combine_chunks()
         of_words = listed.filter(pc.is_valid(listed["words"]))
         of_grams = listed.filter(pc.is_null(listed["words"])).sort_by("bucket")
-        total = _gram_scores(joined, np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in of_grams["prices"]]), depth, buckets)
+        # The texts are gone through twice, so that a window is all that is held.
+        gram = np.empty(0, np.uint64)
+        for texts in _opened(packed):
+            for part in _slices(texts["text"]):
+                for code, _ in grams(part, depth):
+                    gram = _distinct(np.append(gram, _distinct(code)))
+        price = np.empty(len(gram))
+        order = np.argsort(_bucket_of_grams(gram, buckets), kind="stable")
+        price[order] = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in of_grams["prices"]])
         names = pa.array([w for x in of_words["words"] for w in x.as_py().split(b" ")], pa.binary())
-        n_all = np.concatenate([_unpacked(x) for x in of_words["counts"]]).astype(np.int64)
-        worth, seen = np.log10((n_all + ADDED) / (tokens + ADDED * (distinct + 1))), n_all > 0
+        n = np.concatenate([_unpacked(x) for x in of_words["counts"]]).astype(np.int64)
+        worth, seen = np.log10((n + ADDED) / (tokens + ADDED * (distinct + 1))), n > 0
         end = pc.index(names, pa.scalar(b"", pa.binary())).as_py()
-        base, known, n = [], [], []
-        for part, _ in _slices(joined):
-            words = words_of(part)
-            code = pc.index_in(words.each, names).to_numpy() if len(words.each) else np.empty(0, np.int64)
-            owner = np.repeat(np.arange(len(part)), words.per_text)
-            n.append(words.per_text + 1)
-            base.append(np.bincount(owner, worth[code], len(part)) + worth[end])
-            known.append(np.bincount(owner, seen[code], len(part)).astype(np.int64) + int(seen[end]))
-        sums = {"n_tokens": np.concatenate(n), "n_known": np.concatenate(known), "base": np.concatenate(base), "score": total}
-        return pa.table({"id": texts["id"], "held": texts["held"], **sums})
+        found = []
+        for texts in _opened(packed):
+            sums = []
+            for part in _slices(texts["text"]):
+                words = words_of(part)
+                code = pc.index_in(words.each, names).to_numpy() if len(words.each) else np.empty(0, np.int64)
+                owner = np.repeat(np.arange(len(part)), words.per_text)
+                known = np.bincount(owner, seen[code], len(part)).astype(np.int64) + int(seen[end])
+                base = np.bincount(owner, worth[code], len(part)) + worth[end]
+                sums.append((words.per_text + 1, known, base, _gram_scores(part, gram, price, depth)))
+            columns = dict(zip(("n_tokens", "n_known", "base", "score"), map(np.concatenate, zip(*sums))))
+            found.append(pa.table({"id": texts["id"], "held": texts["held"], **columns}))
+        return pa.concat_tables(found)
 
     return score
 
 
-def _gram_scores(texts: pa.Array, price: np.ndarray, depth: int, buckets: int) -> np.ndarray:
-    """Sums of the prices of each text's grams; prices are in the order of the chunk's grams by bucket."""
-    # The texts are gone through twice, so that a window is all that is held.
-    gram = np.empty(0, np.uint64)
-    for part, _ in _slices(texts):
-        for code, _ in grams(part, depth):
-            gram = _distinct(np.append(gram, _distinct(code)))
-    by_gram = np.empty(len(gram))
-    by_gram[np.argsort(_bucket_of_grams(gram, buckets), kind="stable")] = price
-    total = np.zeros(len(texts))
-    for part, first in _slices(texts):
-        own = np.zeros(len(part))
-        for code, owner in grams(part, depth):
-            both, count = np.unique((code << np.uint64(16)) | owner.astype(np.uint64), return_counts=True)
-            code = both >> np.uint64(16)
-            new = np.ones(len(code), bool)
-            new[1:] = code[1:] != code[:-1]
-            value = by_gram[np.searchsorted(gram, code[new])][np.cumsum(new) - 1]
-            own += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), count * value, len(part))
-        total[first : first + len(part)] = own
-    return total
+def _opened(packed: pa.Table) -> Iterator[pa.RecordBatch]:
+    for x in packed["texts"]:
+        yield from pa.ipc.open_stream(x.as_buffer())
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[pa.Array, int]]:
-    first = 0
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
     for part in sized_slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", WINDOW):
-        yield part.column("text"), first
-        first += part.num_rows
+        yield part.column("text")
+
+
+def _gram_scores(texts: pa.Array, gram: np.ndarray, price: np.ndarray, depth: int) -> np.ndarray:
+    """Sums of the prices of each text's grams; at most 65,536 texts."""
+    total = np.zeros(len(texts))
+    for code, owner in grams(texts, depth):
+        both, count = np.unique((code << np.uint64(16)) | owner.astype(np.uint64), return_counts=True)
+        code = both >> np.uint64(16)
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
+        value = price[np.searchsorted(gram, code[new])][np.cumsum(new) - 1]
+        total += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), count * value, len(texts))
+    return total
 
 
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
