@@ -336,11 +336,13 @@ def _score_chunk(depth: int, buckets: int, tokens: int, distinct: int):
         of_words = listed.filter(pc.is_valid(listed["words"]))
         of_grams = listed.filter(pc.is_null(listed["words"])).sort_by("bucket")
         # The texts are gone through twice, so that a window is all that is held.
-        gram = np.empty(0, np.uint64)
+        listing = [np.empty(0, np.uint64)]
         for texts in _opened(packed):
             for part in _slices(texts["text"]):
-                for code, _ in grams(part, depth):
-                    gram = _distinct(np.append(gram, _distinct(code)))
+                listing += [_distinct(code) for code, _ in grams(part, depth)]
+                if len(listing) > 8:
+                    listing = [_distinct(np.concatenate(listing))]
+        gram = _distinct(np.concatenate(listing))
         price = np.empty(len(gram))
         order = np.argsort(_bucket_of_grams(gram, buckets), kind="stable")
         price[order] = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in of_grams["prices"]])
