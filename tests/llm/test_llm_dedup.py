@@ -183,6 +183,52 @@ def test_crowded_regions_are_searched_whole(spark, monkeypatch):
     assert some(map(tuple, found.collect())) == some(expected)
 
 
+def recall(found, expected):
+    """Share of the documents that belong to a group and are in one with all they belong to."""
+    groups = lambda rows: {r[0]: frozenset(x[0] for x in rows if x[2] == r[2]) for r in rows}
+    one, two = groups(found), groups(expected)
+    linked = [i for i in two if len(two[i]) > 1]
+    assert all(one[i] <= two[i] for i in one)
+    return sum(one[i] == two[i] for i in linked) / len(linked)
+
+
+def test_dense_regions_are_searched_deeper(spark, monkeypatch):
+    """With every region of more than eight classes split by up to twelve hashes, nearly all links are still found."""
+    monkeypatch.setattr(near_dedup, "DENSE", 8)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(109)]
+    rows = []
+    for k in range(120):
+        one = replaced(base, rng.sample(range(1, 105, 4), 5), f"k{k}n")
+        rows += [(2 * k, one), (2 * k + 1, replaced(one, rng.sample(range(3, 106, 4), 4), f"k{k}m"))]
+    rows = [(i, " ".join(words), "en", "s") for i, words in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    found = [tuple(r) for r in near_dedup.near_duplicates(docs, width=2, neighbours=1).drop("digest").collect()]
+    assert recall(found, brute_near(rows, 2)) >= 0.9
+
+
+def test_classes_that_met_before_are_left_out():
+    import numpy as np
+    import pandas as pd
+
+    signature = np.arange(256).astype(">u2")
+    far = signature.copy()
+    far[[0, 8]] = 999
+    rows = pd.DataFrame({"id": [1, 2, 3], "c": [1, 2, 3], "n": 100, "block": 7, "searched": [[4] * 32] * 3,
+                         "signature": [signature.tobytes(), signature.tobytes(), far.tobytes()]})
+
+    def found(tree, deep=4):
+        lists = near_dedup.agreeing_across(rows[:1].assign(searched=[[deep] * 32]), rows, tree, 80, 8)
+        return [(a, np.frombuffer(x, "<i8").tolist()) for a, x in zip(lists["a"], lists["others"])]
+
+    # The second meets the first in the first tree, the third in the third.
+    assert found(0) == [(1, [2, 3])]
+    assert found(1) == found(2) == [(1, [3])]
+    assert found(3) == []
+    # Nor by twelve hashes, of which the last are the next tree's.
+    assert found(2, deep=12) == [(1, [3])] and found(3, deep=12) == []
+
+
 def test_near_in_order_gives_each_pair_once():
     import numpy as np
     import pandas as pd
