@@ -266,15 +266,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mix_order) are the locally shuffled output.
     """
     placed, blocks = plan_mix(docs, id_col=id_col, text_col=text_col, seed=seed, **options)
+    own_id, own_place, shards, copy, shard, order = (
+        free_name(docs, n) for n in ("mix_id", "mix_place", "mix_shards", "mix_copy", "mix_shard", "mix_order")
+    )
     taken = (
         _copies(placed, blocks)
         .where("copies > 0")
-        .selectExpr("doc_id AS mix_id", "place AS mix_place", "slice(shards, 1, CAST(copies AS int)) AS mix_shards")
+        .select(
+            F.col("doc_id").alias(own_id), F.col("place").alias(own_place), F.expr("slice(shards, 1, CAST(copies AS int))").alias(shards)
+        )
         # Rows that repeat id and text are taken alike; the table has them once.
-        .dropDuplicates(["mix_id", "mix_place"])
+        .dropDuplicates([own_id, own_place])
     )
     place = F.xxhash64(F.lit(seed), docs[id_col], row_digest(docs[text_col]))
-    rows = docs.join(taken, same(docs[id_col], taken["mix_id"]) & (place == taken["mix_place"]))
-    copy, shard, order = (free_name(docs, n) for n in ("mix_copy", "mix_shard", "mix_order"))
-    dealt = rows.select(*(docs[c] for c in docs.columns), "mix_place", F.posexplode("mix_shards").alias(copy, shard))
-    return dealt.withColumn(order, F.xxhash64(F.lit(seed), "mix_place", copy)).drop("mix_place")
+    rows = docs.join(taken, same(docs[id_col], taken[own_id]) & (place == taken[own_place]))
+    dealt = rows.select(*(docs[c] for c in docs.columns), own_place, F.posexplode(shards).alias(copy, shard))
+    return dealt.withColumn(order, F.xxhash64(F.lit(seed), own_place, copy)).drop(own_place)

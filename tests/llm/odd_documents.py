@@ -4,6 +4,7 @@ import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 # Workers import the package to unpickle what operators hand them.
 os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).parents[2]), os.environ.get("PYTHONPATH", "")])
@@ -54,6 +55,16 @@ def odd_docs(spark, odd_rows):
     return documents(spark, odd_rows)
 
 
+# Names that operators give to columns of their own.
+CLASHING = ["label", "label_id", "known_id", "mix_id", "mix_place", "mix_shards", "mix_copy", "id", "name", "n", "words", "digest", "gone_id", "item"]
+
+
+def clashing(docs):
+    """The documents with more columns, a struct among them."""
+    more = {c: F.lit(i) for i, c in enumerate(CLASHING)}
+    return docs.withColumns({**more, "place": F.struct(F.lit(1).alias("id"), F.lit("x").alias("text"))})
+
+
 @pytest.fixture
 def no_docs(spark):
     return documents(spark, [])
