@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orestar.operators.interval_index import join_in_interval
+
 _MEASURES = (
     "sum(sales_amount) AS total_sales",
     "count(DISTINCT order_number) AS orders",
@@ -94,26 +96,19 @@ def sales_by_cost(star: DataFrame, band: int = 100) -> DataFrame:
 def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
     """Every sale with each product version, and so the cost, valid on its order date.
 
-    The days a product was sold on are matched with the months its versions were
-    valid in, and the period decides within the month; a sale then looks its day
-    up. Days and months are bounded by the calendar, so no sale is ever compared
-    with the other versions of its product. Versions whose periods overlap give
-    a row each, as the join on the period itself would.
+    The days a product was sold on are matched with its versions by blocks of
+    days (``operators.interval_index``); a sale then looks its day up. Days are
+    bounded by the calendar, and a version or day makes rows with the logarithm
+    of the time between the first and the last sale, so a single mistyped year
+    costs nothing. Versions whose periods overlap give a row each, as the join on
+    the period itself would.
     """
     span = sales.selectExpr("struct(min(sls_order_dt) AS first_day, max(sls_order_dt) AS last_day)").scalar()
-    valid = versions.selectExpr("prd_key", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost").withColumns(
-        {
-            "from_day": F.greatest("prd_start_dt", span.getField("first_day")),
-            "to_day": F.least(F.coalesce("prd_end_dt", span.getField("last_day")), span.getField("last_day")),
-        }
-    )
-    # A version that ends before it starts, or lies outside all sales, has no month.
-    months = valid.where("prd_start_dt IS NOT NULL AND from_day <= to_day").selectExpr(
-        "*", "explode(sequence(trunc(from_day, 'MM'), trunc(to_day, 'MM'), INTERVAL 1 MONTH)) AS valid_month"
-    )
+    valid = versions.select("prd_key", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost")
     sold = sales.where("sls_order_dt IS NOT NULL").selectExpr("sls_prd_key AS sold_key", "sls_order_dt AS day").distinct()
-    on_day = "prd_key = sold_key AND valid_month = trunc(day, 'MM') AND day BETWEEN from_day AND to_day"
-    found = sold.join(months, F.expr(on_day)).select("sold_key", "day", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost")
+    found = join_in_interval(
+        sold, valid, [("sold_key", "prd_key")], "day", "prd_start_dt", "prd_end_dt", (span.getField("first_day"), span.getField("last_day"))
+    ).drop("prd_key")
     return sales.join(found, F.expr("sls_prd_key = sold_key AND sls_order_dt = day"), "left").selectExpr(
         "sls_ord_num AS order_number",
         "sls_prd_key",
