@@ -56,10 +56,15 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return counted.selectExpr(f"inline(array({', '.join(results)}))")
 
 
+def result_rows(one_row: DataFrame, metrics: Sequence[tuple[str, str, str, str, str]]) -> DataFrame:
+    """Columns of a one-row aggregate as results: (check_id, table, metric, column, severity) of each."""
+    results = [_result(check_id, table, metric, column, severity) for check_id, table, metric, column, severity in metrics]
+    return one_row.selectExpr(f"inline(array({', '.join(results)}))")
+
+
 def metric_rows(one_row: DataFrame, check_id: str, table: str, severity: str = WARN) -> DataFrame:
     """The columns of a one-row aggregate as check results."""
-    results = [_result(check_id, table, name, name, severity) for name in one_row.columns]
-    return one_row.selectExpr(f"inline(array({', '.join(results)}))")
+    return result_rows(one_row, [(check_id, table, name, name, severity) for name in one_row.columns])
 
 
 def value_counts(df: DataFrame, labels: dict[str, str]) -> DataFrame:

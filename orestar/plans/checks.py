@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from orestar.functions import cleansing as c
 from orestar.operators.anti_join import anti_join_null_aware, few_copies
+from orestar.operators.presence import Holder, has, not_in, only_in, presence
 from orestar.operators.quality import (
-    FAIL, INFO, PASS, WARN, Check, metric_rows, run_checks, union_all, value_counts,
+    FAIL, INFO, PASS, WARN, Check, metric_rows, result_rows, run_checks, union_all, value_counts,
 )
 from orestar.operators.sequence import with_next
 from orestar.plans import gold
+from orestar.workspace import materialise
 
 Tables = Mapping[str, DataFrame]
 
@@ -283,11 +285,90 @@ CROSS_TABLE: dict[str, Callable[[Tables, Tables], DataFrame]] = {
 }
 
 
+# Checks that ``containment_checks`` answers together.
+CONTAINMENTS = ("v4", "v5", "v20", "v31", "v32", "v33", "v34")
+
+
+def key_presence(bronze: Tables, silver: Tables) -> DataFrame:
+    """Where the keys of the containment checks occur; sales are read once in each layer."""
+    category, product, person, customer = "category", "product", "person", "customer"
+    raw_products = bronze["crm_prd_info"]
+    return presence(
+        [
+            Holder(raw_products, [(category, 0, c.category_part("prd_key")), ("sold", 0, c.product_part("prd_key"))]),
+            Holder(bronze["erp_pc_cat_g1v2"], [(category, 1, "id")]),
+            Holder(bronze["crm_sales_details"], [("sold", 1, "sls_prd_key")]),
+            Holder(silver["crm_prd_info"], [(category, 2, "cat_id"), (product, 1, "prd_key")]),
+            Holder(silver["erp_pc_cat_g1v2"], [(category, 3, "id")]),
+            Holder(silver["crm_sales_details"], [(product, 0, "sls_prd_key"), (customer, 0, "sls_cust_id")]),
+            Holder(silver["crm_cust_info"], [(person, 0, "cst_key"), (customer, 1, "cst_id")]),
+            Holder(silver["erp_cust_az12"], [(person, 1, "cid")]),
+            Holder(bronze["erp_cust_az12"], [(person, 2, c.erp_customer_key("cid"))]),
+        ]
+    )
+
+
+def containment_checks(bronze: Tables, silver: Tables) -> DataFrame:
+    """V4, V5, V20 and V31 to V34 from one presence mask per key, all counts in one aggregation."""
+    masks = materialise(key_presence(bronze, silver), "presence")
+    raw, known = "bronze.crm_prd_info", f"key IS NOT NULL AND {has(0)}"
+    unknown = f"{known} AND NOT {has(1)}"
+
+    def keys(domain: str, rule: str) -> str:
+        return f"count_if(domain = '{domain}' AND {rule})"
+
+    def rows(domain: str, rule: str, bit: int) -> str:
+        return f"coalesce(sum(if(domain = '{domain}' AND {rule}, n{bit}, 0)), 0)"
+
+    def unlisted(domain: str) -> str:
+        """Rows whose key is NOT IN the list, as SQL has it: all if the list is empty, none if it holds NULL."""
+        empty, has_null = f"{keys(domain, has(1))} = 0", f"{keys(domain, f'key IS NULL AND {has(1)}')} > 0"
+        return f"CASE WHEN {empty} THEN {rows(domain, 'true', 0)} WHEN {has_null} THEN 0 ELSE {rows(domain, unknown, 0)} END"
+
+    def nulls_listed(domain: str) -> str:
+        return rows(domain, "key IS NULL", 1)
+
+    erp = f"key IS NOT NULL AND {has(1)}"
+    found = {
+        ("v4", raw, "affected_rows", WARN): unlisted("category"),
+        ("v4", raw, "null_keys_in_list", WARN): nulls_listed("category"),
+        ("v5", raw, "affected_rows", WARN): unlisted("sold"),
+        ("v5", raw, "null_keys_in_list", WARN): nulls_listed("sold"),
+        ("v20", "bronze.erp_cust_az12", "duplicate_count", WARN): rows("person", f"{known} AND {has(2)}", 2),
+        ("v31", "silver.crm_cust_info", "crm_customers", INFO): keys("person", known),
+        ("v31", "silver.crm_cust_info", "erp_customers", INFO): keys("person", erp),
+        ("v31", "silver.crm_cust_info", "in_both_systems", INFO): keys("person", f"{known} AND {has(1)}"),
+        ("v31", "silver.crm_cust_info", "only_in_crm", INFO): keys("person", unknown),
+        ("v31", "silver.crm_cust_info", "only_in_erp", INFO): keys("person", f"{erp} AND NOT {has(0)}"),
+        ("v32", "silver.crm_prd_info", "products_without_valid_category", FAIL): rows("category", only_in(2, 3), 2),
+        ("v33", "silver.crm_sales_details", "unknown_products", FAIL): keys("product", unknown),
+        ("v34", "silver.crm_sales_details", "unknown_customers", FAIL): keys("customer", unknown),
+    }
+    counts = masks.selectExpr(*[f"{expression} AS m{i}" for i, expression in enumerate(found.values())])
+    metrics = [(check_id, table, metric, f"m{i}", severity) for i, (check_id, table, metric, severity) in enumerate(found)]
+    products = [
+        _unlisted_products(bronze["crm_prd_info"], masks, domain, derived, check_id)
+        for domain, derived, check_id in (("category", c.category_part("prd_key"), "v4"), ("sold", c.product_part("prd_key"), "v5"))
+    ]
+    return union_all([result_rows(counts, metrics), *products])
+
+
+def _unlisted_products(products: DataFrame, masks: DataFrame, domain: str, derived: str, check_id: str) -> DataFrame:
+    """Distinct products whose derived key is NOT IN the list of the domain."""
+    own = masks.where(F.col("domain") == domain)
+    # What NOT IN turns on: whether the list is empty, and whether it holds NULL.
+    facts = own.where(has(1)).selectExpr("struct(count(*) = 0 AS empty, count_if(key IS NULL) > 0 AS has_null) AS facts").scalar()
+    missing = own.withColumn("list", facts).where(not_in(0, has(1), "list.empty", "list.has_null"))
+    pairs = products.selectExpr(f"CAST({derived} AS string) AS derived_key", "prd_id").distinct()
+    met = pairs.join(missing.select("key"), F.expr("derived_key <=> key"), "left_semi")
+    return metric_rows(met.selectExpr("count(DISTINCT prd_id) AS affected_products"), check_id, "bronze.crm_prd_info")
+
+
 def quality_suite(bronze: Tables, silver: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Every metric check at once: one aggregation per table plus the cross-table checks."""
     fused = [run_checks(_table(bronze, silver, name), name, checks) for name, checks in table_checks(as_of).items()]
-    cross = [check(bronze, silver) for check in CROSS_TABLE.values()]
-    return union_all([*fused, duplicate_customers(silver), *cross])
+    cross = [check(bronze, silver) for name, check in CROSS_TABLE.items() if name not in CONTAINMENTS]
+    return union_all([*fused, duplicate_customers(silver), *cross, containment_checks(bronze, silver)])
 
 
 def listing_metrics(bronze: Tables, silver: Tables) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestar.operators.interval_index import join_in_interval
+from orestar.operators.sketches import sketch_cells, united_counts, within_error
 
 _MEASURES = (
     "sum(sales_amount) AS total_sales",
@@ -122,6 +123,45 @@ def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
     )
 
 
+def monthly_sketches(star: DataFrame) -> DataFrame:
+    """Sales per month, product line and country with sketches of orders, buyers and products.
+
+    From these cells alone the distinct counts of any period, line or country follow.
+    """
+    dated = star.selectExpr("*", "year(order_date) AS order_year", "month(order_date) AS order_month")
+    return sketch_cells(
+        dated,
+        ["order_year", "order_month", "product_line", "country"],
+        {"orders": "order_number", "buyers": "customer_key", "products": "product_key"},
+        {"total_sales": "sales_amount", "units": "quantity"},
+    )
+
+
+SKETCHED = ("orders", "buyers", "products")
+
+
+def approximate_counts(cells: DataFrame, by: list[str]) -> DataFrame:
+    """The cells of ``monthly_sketches`` united: sums exact, distinct counts estimated."""
+    return united_counts(cells, by, SKETCHED, ("total_sales", "units"))
+
+
+def counts_with_estimates(star: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
+    """Exact distinct counts of the groups, and whether those from the stored cells keep their stated error."""
+    dated = star.selectExpr("*", "year(order_date) AS order_year", "month(order_date) AS order_month")
+    exact = dated.groupBy(*by).agg(
+        F.expr("count(DISTINCT order_number) AS orders"),
+        F.expr("count(DISTINCT customer_key) AS buyers"),
+        F.expr("count(DISTINCT product_key) AS products"),
+        F.expr("sum(sales_amount) AS total_sales"),
+    )
+    estimated = approximate_counts(cells, by).selectExpr(
+        *[f"{name} AS e_{name}" for name in by], *[f"{name} AS about_{name}" for name in SKETCHED]
+    )
+    same = " AND ".join(f"{name} <=> e_{name}" for name in by)
+    judged = [f"{within_error(f'about_{name}', name)} AS {name}_within_error" for name in SKETCHED]
+    return exact.join(estimated, F.expr(same), "left").selectExpr(*by, *SKETCHED, "total_sales", *judged)
+
+
 # Reports over the star, by the name of their table.
 STAR_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sales_by_country": sales_by_country,
@@ -133,4 +173,5 @@ STAR_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sales_by_customer_attribute": sales_by_customer_attribute,
     "sales_by_product_line": sales_by_product_line,
     "sales_by_cost": sales_by_cost,
+    "monthly_sketches": monthly_sketches,
 }
