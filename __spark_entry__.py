@@ -172,6 +172,16 @@ def _report(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(_star(spark, sf_dir))
 
 
+def _counts_with_estimates(*by: str) -> Query:
+    """Exact counts beside those from monthly sketches, which are stored first as the reports job stores them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = _star(spark, sf_dir)
+        return reports.counts_with_estimates(star, materialise(reports.monthly_sketches(star), "sketches"), list(by))
+
+    return run
+
+
 def _point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _silver(spark, sf_dir)
     return reports.sales_point_in_time(tables["crm_sales_details"], tables["crm_prd_info"])
@@ -253,6 +263,8 @@ def _queries() -> dict[str, Query]:
         "report_customers": _report(reports.customers),
         "report_products": _report(reports.products),
         "report_products_top": _report(reports.top_products),
+        "report_distinct_counts_by_year": _counts_with_estimates("order_year"),
+        "report_distinct_counts_by_line": _counts_with_estimates("order_year", "product_line"),
         "fact_sales_point_in_time": _point_in_time,
         "fact_sales_point_in_time_overlaps": _point_in_time_overlaps,
         "report_sales_by_customer_attr": _report(reports.sales_by_customer_attribute),
