@@ -195,15 +195,23 @@ def _predicate(check_id: str, erp_scope: str = "new_only") -> Query:
     return _check(lambda bronze, clean: checks.predicate_check(check_id, bronze, clean, AS_OF), erp_scope)
 
 
-def _quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All metric checks, over tables stored first where several checks read them."""
-    raw = feeds.raw_layer(spark, sf_dir)
+def _stored_for_checks(raw: Layer, erp_scope: str = "new_only") -> tuple[Layer, Layer]:
+    """Bronze and silver with those tables stored that several checks read."""
     bronze = raw.replaced(crm_sales_details=materialise(raw["crm_sales_details"], "bronze_sales"))
     customers = materialise(silver.clean_customers(bronze["crm_cust_info"]), "silver_customers")
     products = materialise(silver.clean_products(bronze["crm_prd_info"]), "silver_products")
-    clean = silver.silver_layer(bronze, AS_OF, customers=customers)
-    clean = clean.replaced(crm_cust_info=customers, crm_prd_info=products)
-    return checks.quality_suite(bronze, clean, AS_OF)
+    clean = silver.silver_layer(bronze, AS_OF, erp_scope, customers=customers)
+    return bronze, clean.replaced(crm_cust_info=customers, crm_prd_info=products)
+
+
+def _quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metric checks."""
+    return checks.quality_suite(*_stored_for_checks(feeds.raw_layer(spark, sf_dir)), AS_OF)
+
+
+def _full_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks and value lists of the batch job, over layers with repeated master data."""
+    return checks.full_suite(*_stored_for_checks(feeds.raw_layer_with_repeats(spark, sf_dir), "all"), AS_OF)
 
 
 def queries() -> dict[str, Query]:
@@ -239,6 +247,7 @@ def _queries() -> dict[str, Query]:
         "check_v24_all": _check(checks.LISTINGS["v24"], "all"),
         "check_v31_all": _check(checks.CROSS_TABLE["v31"], "all"),
         "quality_suite": _quality_suite,
+        "quality_suite_full": _full_suite,
         "gold_surrogate_keys": _surrogate_keys,
         "gold_dim_customers": lambda spark, sf_dir: _dimension(spark, sf_dir, "customers"),
         "gold_dim_customers_enriched": lambda spark, sf_dir: _dimension(spark, sf_dir, "customers", "all"),

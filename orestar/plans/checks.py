@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from orestar.functions import cleansing as c
 from orestar.operators.anti_join import anti_join_null_aware, few_copies
 from orestar.operators.presence import Holder, has, not_in, only_in, presence
+from orestar.operators.profile import Listing, Profile, profile_results
 from orestar.operators.quality import (
     FAIL, INFO, PASS, WARN, Check, metric_rows, result_rows, run_checks, union_all, value_counts,
 )
@@ -367,40 +368,77 @@ def _unlisted_products(products: DataFrame, masks: DataFrame, domain: str, deriv
 def quality_suite(bronze: Tables, silver: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Every metric check at once: one aggregation per table plus the cross-table checks."""
     fused = [run_checks(_table(bronze, silver, name), name, checks) for name, checks in table_checks(as_of).items()]
+    return union_all([*fused, *_key_checks(bronze, silver)])
+
+
+def _key_checks(bronze: Tables, silver: Tables) -> list[DataFrame]:
+    """The metric checks of keys, within a table and between tables."""
     cross = [check(bronze, silver) for name, check in CROSS_TABLE.items() if name not in CONTAINMENTS]
-    return union_all([*fused, duplicate_customers(silver), *cross, containment_checks(bronze, silver)])
+    return [duplicate_customers(silver), *cross, containment_checks(bronze, silver)]
+
+
+def _profiles(as_of: dt.date | None) -> dict[str, Profile]:
+    """Tables of which both predicates and values, or several columns, are asked."""
+    predicates = table_checks(as_of)
+
+    def listed(check_id: str, labels: Mapping[str, str], counted: bool = True) -> list[Listing]:
+        return [Listing(check_id, column, f"{label}: ", counted) for column, label in labels.items()]
+
+    listings = {
+        "silver.crm_cust_info": listed("v3", _CUSTOMER_DOMAINS),
+        "silver.crm_prd_info": [*listed("v12", {"prd_line": "Product Line Distribution"}), Listing("v11", "prd_line", counted=False)],
+        "silver.erp_cust_az12": [*listed("v24", {"gen": "Gender Distribution"}), Listing("v23", "gen", counted=False)],
+        "silver.erp_loc_a101": [*listed("v26", {"cntry": "Country Distribution"}), Listing("v25", "cntry", counted=False)],
+        "bronze.erp_pc_cat_g1v2": listed("v29", _CATEGORY_DOMAINS, counted=False),
+        "silver.erp_pc_cat_g1v2": listed("v30", _CATEGORY_DOMAINS),
+    }
+    return {name: Profile(predicates.get(name, ()), found) for name, found in listings.items()}
+
+
+def full_suite(bronze: Tables, silver: Tables, as_of: dt.date | None = None) -> DataFrame:
+    """``quality_suite`` and ``listing_metrics`` in one: predicates and value lists of a table come from one pass over it."""
+    wanted = _profiles(as_of)
+    profiled = profile_results({name: _table(bronze, silver, name) for name in wanted}, wanted)
+    others = [
+        run_checks(_table(bronze, silver, name), name, found) for name, found in table_checks(as_of).items() if name not in wanted
+    ]
+    return union_all([profiled, *others, *_key_checks(bronze, silver), *_key_listings(bronze, silver)])
 
 
 def listing_metrics(bronze: Tables, silver: Tables) -> DataFrame:
     """The listing checks as results: one per listed value, or their number where the list is of keys."""
 
-    def counted(check_id: str, table: str, severity: str = INFO) -> DataFrame:
-        listed = LISTINGS[check_id](bronze, silver).selectExpr("count(*) AS listed")
-        return metric_rows(listed, check_id, table, severity)
-
     def by_value(check_id: str, table: str, label: str, value: str, count: str) -> DataFrame:
         columns = f"'{check_id}' AS check_id", f"'{table}' AS table_name", f"concat({label}, coalesce({value}, 'NULL')) AS metric"
         return LISTINGS[check_id](bronze, silver).selectExpr(*columns, f"CAST({count} AS bigint) AS value", f"'{INFO}' AS status")
 
     counts = {"v3": "crm_cust_info", "v12": "crm_prd_info", "v24": "erp_cust_az12", "v26": "erp_loc_a101", "v30": "erp_pc_cat_g1v2"}
     domains = {"v11": ("crm_prd_info", "prd_line"), "v23": ("erp_cust_az12", "gen"), "v25": ("erp_loc_a101", "cntry")}
-    loads = LISTINGS["v35"](bronze, silver).selectExpr(
-        "'v35' AS check_id", "table_name",
-        f"inline(array(struct('silver_rows' AS metric, silver_rows AS value, '{INFO}' AS status),"
-        f" struct('bronze_rows' AS metric, bronze_rows AS value, '{INFO}' AS status)))",
-    )
     return union_all(
         [
-            counted("v6", "silver.crm_prd_info", WARN),
-            counted("v13", "bronze.crm_prd_info"),
+            *_key_listings(bronze, silver),
             *[by_value(i, f"silver.{t}", "label, ': '", "value", "row_count") for i, t in counts.items()],
             *[by_value(i, f"silver.{t}", "''", column, "1") for i, (t, column) in domains.items()],
             by_value("v29", "bronze.erp_pc_cat_g1v2", "label, ': '", "value", "1"),
-            loads,
         ]
     )
 
 
+def _key_listings(bronze: Tables, silver: Tables) -> list[DataFrame]:
+    """Listings of keys by their number, and the rows of every table."""
+
+    def counted(check_id: str, table: str, severity: str = INFO) -> DataFrame:
+        listed = LISTINGS[check_id](bronze, silver).selectExpr("count(*) AS listed")
+        return metric_rows(listed, check_id, table, severity)
+
+    loads = LISTINGS["v35"](bronze, silver).selectExpr(
+        "'v35' AS check_id", "table_name",
+        f"inline(array(struct('silver_rows' AS metric, silver_rows AS value, '{INFO}' AS status),"
+        f" struct('bronze_rows' AS metric, bronze_rows AS value, '{INFO}' AS status)))",
+    )
+    return [counted("v6", "silver.crm_prd_info", WARN), counted("v13", "bronze.crm_prd_info"), loads]
+
+
 def gold_checks(silver: Tables, gold_tables: Tables) -> DataFrame:
     """V36 on both sides of the fact, and what each join of the gold layer would repeat."""
     fact = gold_tables["fact_sales"]

@@ -132,8 +132,7 @@ class Warehouse:
         """Run every check on the stored layers, gold included, and keep the results."""
         bronze, clean = self.layer(BRONZE), self.layer(SILVER)
         found = [
-            checks.quality_suite(bronze, clean, self.as_of),
-            checks.listing_metrics(bronze, clean),
+            checks.full_suite(bronze, clean, self.as_of),
             checks.gold_checks(clean, {name: self.lake.read(GOLD, name) for name in ("fact_sales", "dim_products", "dim_customers")}),
         ]
         results = checks.union_all(found)

@@ -171,6 +171,34 @@ LISTINGS["v35"] = "\nUNION ALL ".join(
 _SUITE_V2 = _metrics("v2", "silver.crm_cust_info", "(" + LISTINGS["v2"] + ")", "FAIL", duplicate_ids="count(*)")
 _SUITE = "\nUNION ALL ".join([*METRIC_CHECKS.values(), _SUITE_V2])
 
+
+
+def _listed(check_id: str, table: str, metric: str, value: str) -> str:
+    return f"SELECT '{check_id}' AS check_id, '{table}' AS table_name, {metric} AS metric, CAST({value} AS BIGINT) AS value, 'INFO' AS status FROM ({LISTINGS[check_id]})"
+
+
+_BY_VALUE = "label || ': ' || coalesce(value, 'NULL')"
+_FULL_SUITE = "\nUNION ALL ".join(
+    [
+        _SUITE,
+        _metrics("v6", "silver.crm_prd_info", f"({LISTINGS['v6']})", listed="count(*)"),
+        _metrics("v13", "bronze.crm_prd_info", f"({LISTINGS['v13']})", "INFO", listed="count(*)"),
+        *[
+            _listed(check_id, f"silver.{table}", _BY_VALUE, "row_count")
+            for check_id, table in (("v3", "crm_cust_info"), ("v12", "crm_prd_info"), ("v24", "erp_cust_az12"), ("v26", "erp_loc_a101"), ("v30", "erp_pc_cat_g1v2"))
+        ],
+        *[
+            _listed(check_id, f"silver.{table}", f"coalesce({column}, 'NULL')", "1")
+            for check_id, table, column in (("v11", "crm_prd_info", "prd_line"), ("v23", "erp_cust_az12", "gen"), ("v25", "erp_loc_a101", "cntry"))
+        ],
+        _listed("v29", "bronze.erp_pc_cat_g1v2", _BY_VALUE, "1"),
+        *[
+            f"SELECT 'v35' AS check_id, table_name, '{layer}_rows' AS metric, {layer}_rows AS value, 'INFO' AS status FROM ({LISTINGS['v35']})"
+            for layer in ("silver", "bronze")
+        ],
+    ]
+)
+
 _SUM = "CAST(sum({0}) AS BIGINT)"
 _SALES, _UNITS = _SUM.format("sales_amount") + " AS total_sales", _SUM.format("quantity") + " AS units"
 _MEASURES = f"{_SALES}, count(DISTINCT order_number) AS orders, {_UNITS}"
@@ -286,6 +314,8 @@ def statements() -> dict[str, str]:
     category = FEEDS["erp_pc_cat_g1v2"]
     changed = {
         "gold_join_guard_repeats": (_guard("silver_people"), REPEATED),
+        # Over everyone, as the layers with repeats are.
+        "quality_suite_full": (_FULL_SUITE.replace("silver_new_people", "silver_people"), REPEATED),
         "fact_sales_point_in_time_overlaps": (_GOLD_AND_REPORTS["fact_sales_point_in_time"], REPEATED),
         "check_v4_null_listed": (
             METRIC_CHECKS["v4"],
