@@ -30,6 +30,9 @@ def _arguments(words: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--erp-scope", choices=["new_only", "all"], default="new_only")
     parser.add_argument("--on-invalid-date", choices=["fail", "null"], default="fail")
     parser.add_argument("--mode", choices=csv_feeds.MODES, default="PERMISSIVE", help="what lines do that fit no schema")
+    parser.add_argument("--sep", default=",", help="what parts the fields of a feed")
+    parser.add_argument("--quote", default='"', help="what encloses a field; empty reads quotes as ordinary characters")
+    parser.add_argument("--collation", help="collation of the text columns, such as UTF8_LCASE")
     parser.add_argument("--shuffle-partitions", help="tasks of a shuffle; about one per 128 MB of the largest table")
     given = parser.parse_args(words)
     if given.job in ("bronze", "all") and not given.sources:
@@ -53,10 +56,11 @@ def main(words: Sequence[str] | None = None) -> int:
     warehouse = Warehouse(
         spark, given.root, given.prefix, given.as_of, given.erp_scope, given.on_invalid_date
     )
+    reading = {"sep": given.sep, "quote": given.quote} | ({"collation": given.collation} if given.collation else {})
     if given.job == "all":
-        return _report(warehouse.run(given.sources, given.mode))
+        return _report(warehouse.run(given.sources, given.mode, **reading))
     if given.job == "bronze":
-        warehouse.load_bronze(given.sources, given.mode)
+        warehouse.load_bronze(given.sources, given.mode, **reading)
     elif given.job == "silver":
         warehouse.load_silver()
     elif given.job == "gold":

@@ -45,14 +45,15 @@ class Warehouse:
         self.erp_scope = erp_scope
         self.on_invalid_date = on_invalid_date
 
-    def run(self, source_dir: str, mode: str = "PERMISSIVE") -> DataFrame:
-        """Everything, logged as one batch besides its tables."""
+    def run(self, source_dir: str, mode: str = "PERMISSIVE", **read_options: str) -> DataFrame:
+        """Everything, logged as one batch besides its tables. Options are those of ``read_raw``."""
 
         def batch() -> Loaded:
-            self.load_bronze(source_dir, mode)
+            self.load_bronze(source_dir, mode, **read_options)
             self.load_silver()
             self.build_gold()
             self.run_checks()
+            self.build_reports()
             return Loaded()
 
         self.log.record("batch", "all", batch)
@@ -62,7 +63,9 @@ class Warehouse:
         """Load the feeds. Lines that do not fit are kept with their reason, dropped and counted, or stop the load.
 
         Each feed is parsed once, into a folder of accepted and one of rejected
-        lines; the table changes only after the rejects are safe.
+        lines; if there are any of these the raw lines are read once more, to keep
+        them as they are with the columns at fault. The table changes only after
+        the rejects are safe.
         """
 
         def load(table: str) -> Loaded:
@@ -76,8 +79,9 @@ class Warehouse:
             if rejects and mode == "FAILFAST":
                 raise ValueError(f"{rejects} lines do not fit {table}")
             if rejects and mode == "PERMISSIVE":
-                bad = self.spark.read.schema("reason string, line string").parquet(f"{folder}/outcome=rejected")
-                named = bad.selectExpr(f"'{table}' AS table_name", "reason", "line", f"'{self.log.batch_id}' AS batch_id")
+                raw = csv_feeds.read_lines(self.spark, f"{source_dir}/{FEED_FILES[table]}")
+                bad = csv_feeds.rejected_lines(raw, table, **{k: v for k, v in read_options.items() if k in ("sep", "quote")})
+                named = bad.withColumn("batch_id", F.lit(self.log.batch_id))
                 self.lake.append(named, OPS, f"rejects_{table}")
             if not rows:
                 # No line was accepted, so no such folder was written.

@@ -77,6 +77,38 @@ def rejected(lines: DataFrame, table: str) -> DataFrame:
     return judged(lines, table).where("reason IS NOT NULL").select(F.lit(table).alias("table_name"), "reason", "line")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a feed as they are, but for the header of each file."""
+    # A control character parts the fields, so a line is one; where it occurs the reader keeps the line apart.
+    whole = spark.read.schema(f"line string, {_BAD_LINE} string").options(
+        header=True, sep="\u0001", quote="", escape="", columnNameOfCorruptRecord=_BAD_LINE,
+    )
+    return whole.csv(path).select(F.coalesce(_BAD_LINE, "line").alias("line"))
+
+
+def rejected_lines(lines: DataFrame, table: str, sep: str = ",", quote: str = '"') -> DataFrame:
+    """Of raw ``lines`` those that do not fit: table_name, reason, faults, line.
+
+    The verdict is that of ``read_raw``, as both parse alike. ``faults`` names the
+    columns at fault: a field that is there and does not convert to its type, a
+    text over its width; and ``number of fields`` for a line of too few or too many.
+    """
+    fields = RAW[table].fields
+    options = {"sep": sep, "quote": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_LINE}
+    bad = f"{_BAD_LINE} STRING"
+    typed = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields] + [bad])
+    texts = ", ".join([f"{f.name} STRING" for f in fields] + [bad])
+    parsed = lines.select("line", F.from_csv("line", typed, options).alias("typed"), F.from_csv("line", texts, options).alias("texts"))
+    wrong = {f.name: f"texts.{f.name} IS NOT NULL AND typed.{f.name} IS NULL" for f in fields}
+    wrong |= {name: f"length(texts.{name}) > {TEXT_WIDTH}" for name in text_columns(table)}
+    named = [f"if({rule}, '{name}', NULL)" for name, rule in wrong.items()]
+    count = f"if(texts.{_BAD_LINE} IS NOT NULL, 'number of fields', NULL)"
+    too_long = " OR ".join(wrong[name] for name in text_columns(table))
+    reason = f"CASE WHEN typed.{_BAD_LINE} IS NOT NULL THEN 'malformed' WHEN {too_long} THEN 'over_long' END"
+    judged_ = parsed.selectExpr(f"'{table}' AS table_name", f"{reason} AS reason", f"concat_ws(', ', {', '.join([count, *named])}) AS faults", "line")
+    return judged_.where("reason IS NOT NULL")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A feed as CSV files with a header; padding is kept, NULL and '' become empty fields."""
     df.write.options(

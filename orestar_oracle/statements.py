@@ -273,7 +273,8 @@ _FAULTY = {
     "sls_ord_num": "CASE n % 7 WHEN 2 THEN rpad(sls_ord_num, 60, '0') ELSE sls_ord_num END",
 }
 _TEXT = " || ',' || ".join(f"coalesce({_FAULTY.get(f, f'CAST({f} AS VARCHAR)')}, '')" for f in _FIELDS)
-_BRONZE["bronze_rejects"] = f"""SELECT 'crm_sales_details' AS table_name, CASE n % 7 WHEN 1 THEN 'malformed' ELSE 'over_long' END AS reason, {_TEXT} AS line
+_BRONZE["bronze_rejects"] = f"""SELECT 'crm_sales_details' AS table_name, CASE n % 7 WHEN 1 THEN 'malformed' ELSE 'over_long' END AS reason,
+ CASE n % 7 WHEN 1 THEN 'sls_quantity' ELSE 'sls_ord_num' END AS faults, {_TEXT} AS line
 FROM (SELECT *, CAST(substring(sls_ord_num, 3) AS BIGINT) AS n FROM crm_sales_details) WHERE n % 7 IN (1, 2)"""
 
 _SILVER = {
@@ -299,6 +300,15 @@ _LOAD_COUNTS = " UNION ALL ".join(
     for name, source in tables.items()
 )
 
+_LOAD_FAILURES = " UNION ALL ".join(
+    f"SELECT 'bronze' AS layer, '{name}' AS table_name, 'LOADED' AS status, (SELECT count(*) FROM {name}) AS rows_loaded, 0 AS rows_rejected,"
+    " CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS condition, true AS timed, CAST(NULL AS VARCHAR) AS step"
+    if name != "crm_sales_details"
+    else "SELECT 'bronze', 'crm_sales_details', 'FAILED', NULL, NULL, 'ValueError: ' || count(*) || ' lines do not fit crm_sales_details', NULL, true, 'plans/warehouse.py'"
+    " FROM crm_sales_details WHERE CAST(substring(sls_ord_num, 3) AS BIGINT) % 7 IN (1, 2)"
+    for name in sorted(FEEDS, key=lambda t: t == "crm_sales_details")
+)
+
 
 def statements() -> dict[str, str]:
     plain = _BRONZE | _SILVER | _GOLD_AND_REPORTS
@@ -311,6 +321,7 @@ def statements() -> dict[str, str]:
     plain["check_v13_sample"] = LISTINGS["v13"] + " WHERE prd_key IN (SELECT DISTINCT prd_key FROM crm_prd_info ORDER BY prd_key LIMIT 2)"
     plain["quality_suite"] = _SUITE
     plain["load_reconciliation"] = _LOAD_COUNTS
+    plain["load_failures"] = _LOAD_FAILURES
     category = FEEDS["erp_pc_cat_g1v2"]
     changed = {
         "gold_join_guard_repeats": (_guard("silver_people"), REPEATED),

@@ -4,7 +4,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from orestar.sources.csv_feeds import accepted, read_raw, rejected
+from orestar.sources.csv_feeds import accepted, read_lines, read_raw, rejected, rejected_lines
 
 
 @pytest.fixture
@@ -84,3 +84,28 @@ def test_collation(spark, feed):
 
 def test_other_separator(feed):
     assert accepted(feed("h;h\nAW-1;DE\n", "erp_loc_a101", sep=";"), "erp_loc_a101").first().cntry == "DE"
+
+
+def test_rejects_name_their_columns_and_keep_the_line(spark, feed, tmp_path):
+    lines = feed(CUSTOMERS + f'9,"{"K" * 51}", a ,"b ""x""",S,F,2025-01-31\nz,AW9,{"L" * 60},b,S,F,yesterday\n\u0001,AW10,a,b,S,F,\n', "crm_cust_info")
+    found = rejected_lines(read_lines(spark, str(tmp_path / "feed.csv")), "crm_cust_info")
+    assert found.columns == ["table_name", "reason", "faults", "line"]
+    told = {r.line.split(",")[0]: (r.reason, r.faults) for r in found.collect()}
+    assert told == {
+        "x": ("malformed", "cst_id"), "4": ("malformed", "number of fields"), "5": ("malformed", "number of fields"),
+        "6": ("over_long", "cst_key"), "8": ("malformed", "cst_create_date"), "9": ("over_long", "cst_key"),
+        "z": ("malformed", "cst_id, cst_firstname, cst_create_date"), "\u0001": ("malformed", "cst_id"),
+    }
+    kept = {r.line for r in found.collect()}
+    assert f'9,"{"K" * 51}", a ,"b ""x""",S,F,2025-01-31' in kept
+    # The same lines as those the typed reading turns away.
+    assert rejected(lines, "crm_cust_info").groupBy("reason").count().orderBy("reason").collect() == (
+        found.groupBy("reason").count().orderBy("reason").collect()
+    )
+
+
+def test_no_line_is_turned_away(spark, feed, tmp_path):
+    feed("h;h\nAW-1;'D;E'\n", "erp_loc_a101", sep=";", quote="'")
+    lines = read_lines(spark, str(tmp_path / "feed.csv"))
+    assert rejected_lines(lines, "erp_loc_a101", sep=";", quote="'").count() == 0
+    assert [r.faults for r in rejected_lines(lines, "erp_loc_a101", sep=";", quote="").collect()] == ["number of fields"]
