@@ -1,10 +1,12 @@
 """Quality by co-training: a classifier on the text and one on the page's metadata teach each other.
 
 Both views start from the same bounded sample of labelled rows. In every round
-each view scores all unlabelled documents, and the rows it is surest of join the
-training rows of the other view. At the end each view is calibrated on labelled
-rows kept aside, and a logistic fit on the two calibrated outputs, on the same
-rows, combines them into the score that every document gets.
+each view is calibrated on labelled rows kept aside and scores all unlabelled
+documents; those it is sure of join the training rows of the other view, weighted
+by how often it is right about such rows aside. A view that ranks the rows aside
+no better than chance teaches nothing. At the end a logistic fit on the two
+calibrated outputs, on the same rows, combines them into the score that every
+document gets.
 
 The features of a document are computed once and written; rounds and the final
 scoring read them. What reaches the driver are labelled rows and pseudo-labelled
@@ -28,10 +30,11 @@ from orestar.llm.text import present
 from orestar.workspace import materialise
 
 # Labelled rows of each label in the sample; rows of each label and view that a
-# round adds; rounds.
+# round adds; rounds; the calibrated probability from which a view is sure.
 MOST_LABELLED = 6000
 ADDED = 200
 ROUNDS = 3
+SURE = 0.9
 HELD_OUT_FOLD = 2
 
 GRAMS = 256
@@ -183,30 +186,73 @@ def _labelled(table: DataFrame, labels: DataFrame, id_col: str, most: int) -> pd
 
 
 def _scored(table: DataFrame, views: dict[str, View]) -> DataFrame:
+    """doc_id, the log odds of both calibrated views, and a hash by which rows of equal features are known."""
     shared = table.sparkSession.sparkContext.broadcast(views)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 x = _views(batch)
-                yield pd.DataFrame({"doc_id": batch["doc_id"], **{k: v.raw(x[k]).astype(float) for k, v in shared.value.items()}})
+                odds = {k: v.calibrated(x[k]).astype(float) for k, v in shared.value.items()}
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "vector": batch["vector"], **odds})
 
-    return table.mapInPandas(score, "doc_id bigint, text double, meta double")
+    hashed = table.withColumn("vector", F.xxhash64("text_view", "meta_view"))
+    return hashed.mapInPandas(score, "doc_id bigint, vector bigint, text double, meta double")
 
 
-def _surest(scores: DataFrame, view: str, added: int) -> DataFrame:
-    """The rows a view is surest of, ``added`` of each label, with the label it gives them."""
+def trust(odds: np.ndarray, y: np.ndarray, sure: float = SURE) -> dict[int, float]:
+    """How far a view is believed when it is sure of a label, from 0 to 1, by rows kept aside.
+
+    Of the rows aside that it is as sure of, 2 * (share it gets right) - 1, the share
+    with one right and one wrong row added. A view that ranks the rows aside no better
+    than chance, by one standard error of the rank sum, is not believed at all.
+    """
+    ones, zeros = odds[y == 1], odds[y == 0]
+    if not len(ones) or not len(zeros):
+        return {0: 0.0, 1: 0.0}
+    rank = pd.Series(np.append(ones, zeros)).rank().to_numpy()[: len(ones)].sum()
+    area = (rank - len(ones) * (len(ones) + 1) / 2) / (len(ones) * len(zeros))
+    error = math.sqrt((len(odds) + 1) / (12 * len(ones) * len(zeros)))
+    if area <= 0.5 + error:
+        return {0: 0.0, 1: 0.0}
+    limit = math.log(sure / (1 - sure))
+    believed = {}
+    for label, own in ((1, odds >= limit), (0, odds <= -limit)):
+        believed[label] = max(0.0, 2 * ((y[own] == label).sum() + 1) / (own.sum() + 2) - 1)
+    return believed
+
+
+def _surest(scores: DataFrame, view: str, labels: list[int], added: int, taught: list[int], sure: float) -> DataFrame:
+    """The rows a view is surest of, ``added`` of each label, with the label it gives them.
+
+    Only rows beyond the limit ``sure``, one of those with equal features, none
+    with the features of a row taught before; ties by a hash of the id.
+    """
+    limit = math.log(sure / (1 - sure))
     parts = []
-    for label, order in ((1, F.col(view).desc()), (0, F.col(view).asc())):
-        sure = scores.where(F.col(view) > 0) if label else scores.where(F.col(view) < 0)
-        parts.append(sure.orderBy(order, "doc_id").limit(added).select("doc_id", F.lit(label).alias("label")))
-    return parts[0].unionAll(parts[1])
+    for label in labels:
+        odds = F.col(view) if label else -F.col(view)
+        hashed = F.struct(F.xxhash64("doc_id").alias("hash"), "doc_id")
+        own = (
+            scores.where((odds >= limit) & ~F.col("vector").isin(taught))
+            .groupBy("vector")
+            .agg(F.min(hashed).alias("first"), F.max(odds).alias("odds"))
+            .orderBy(F.desc("odds"), "first.hash", "first.doc_id")
+            .limit(added)
+        )
+        parts.append(own.select(F.col("first.doc_id").alias("doc_id"), "vector", F.lit(label).alias("label")))
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
-def co_train(table: DataFrame, labels: DataFrame, id_col: str, rounds: int, added: int, most: int) -> tuple[dict[str, View], np.ndarray]:
+def co_train(
+    table: DataFrame, labels: DataFrame, id_col: str, rounds: int, added: int, most: int, sure: float = SURE
+) -> tuple[dict[str, View], np.ndarray]:
     """Both views after the rounds, and the weights that combine their calibrated outputs.
 
-    Without rows of both labels the views are flat and the score is the share of label 1.
+    Every round calibrates each view on the labelled rows kept aside and teaches the
+    other one the rows beyond the limit ``sure``, weighted by ``trust``. Without rows of
+    both labels the views are flat and the score is the share of label 1; without
+    such rows aside nothing is exchanged.
     """
     sample = _labelled(table, labels, id_col, most)
     y, weight = sample["label"].to_numpy(float), sample["weight"].to_numpy(float)
@@ -217,32 +263,49 @@ def co_train(table: DataFrame, labels: DataFrame, id_col: str, rounds: int, adde
         flat = {k: View(np.zeros(v.shape[1]), np.ones(v.shape[1]), np.zeros(v.shape[1] + 1)) for k, v in x.items()}
         return flat, np.array([0.0, 0.0, math.log(share / (1 - share))])
     fit = ~aside
+    check = aside if len(set(y[aside])) == 2 else fit
     rows = {k: (v[fit], y[fit], weight[fit]) for k, v in x.items()}
-    views = {k: fit_view(*own) for k, own in rows.items()}
+
+    def fitted() -> dict[str, View]:
+        views = {k: fit_view(*own) for k, own in rows.items()}
+        for k, view in views.items():
+            view.slope, view.shift = _platt(view.raw(x[k][check]), y[check], weight[check])
+        return views
+
+    views = fitted()
     known = labels.select(F.col(id_col).cast("bigint").alias("label_id")).where("label_id IS NOT NULL").distinct()
+    taught: dict[str, list[int]] = {k: [] for k in views}
     for _ in range(rounds):
-        # All rows are scored; only ids and scores are shuffled to leave the labelled ones out.
+        believed = {k: trust(view.calibrated(x[k][aside]), y[aside], sure) for k, view in views.items()}
+        teachers = {k: [label for label in (0, 1) if own[label] > 0] for k, own in believed.items()}
+        if not any(teachers.values()):
+            break
+        # All rows are scored; only ids, hashes and scores are shuffled to leave the labelled ones out.
         scores = _scored(table, views).where("doc_id IS NOT NULL")
         scores = materialise(scores.join(known, scores["doc_id"] == known["label_id"], "left_anti"), "co_training")
+        learnt = False
         for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            chosen = _surest(scores, teacher, added).withColumnRenamed("doc_id", "chosen_id")
+            if not teachers[teacher]:
+                continue
+            chosen = _surest(scores, teacher, teachers[teacher], added, taught[pupil], sure)
+            chosen = chosen.withColumnRenamed("doc_id", "chosen_id")
             # At most 2 * added rows: sent everywhere, and to the driver.
             new = table.join(F.broadcast(chosen), table["doc_id"] == chosen["chosen_id"]).dropDuplicates(["chosen_id"])
-            new = new.select("chosen_id", "label", "text_view", "meta_view").orderBy("chosen_id").toPandas()
+            new = new.select("chosen_id", "vector", "label", "text_view", "meta_view").orderBy("chosen_id").toPandas()
             if len(new):
+                learnt = True
+                taught[pupil] += new["vector"].tolist()
+                worth = new["label"].map(believed[teacher]).to_numpy(float) * weight.mean()
                 before = rows[pupil]
                 rows[pupil] = (
                     np.vstack([before[0], _views(new)[pupil]]),
                     np.append(before[1], new["label"].to_numpy(float)),
-                    np.append(before[2], np.full(len(new), weight.mean())),
+                    np.append(before[2], worth),
                 )
-        views = {k: fit_view(*own) for k, own in rows.items()}
-    check = aside if len(set(y[aside])) == 2 else fit
-    outputs = []
-    for k, view in views.items():
-        view.slope, view.shift = _platt(view.raw(x[k][check]), y[check], weight[check])
-        outputs.append(view.calibrated(x[k][check]))
-    stacked = np.column_stack([*outputs, np.ones(int(check.sum()))])
+        if not learnt:
+            break
+        views = fitted()
+    stacked = np.column_stack([*(v.calibrated(x[k][check]) for k, v in views.items()), np.ones(int(check.sum()))])
     return views, logistic(stacked, y[check], weight[check], np.array([1.0, 1.0, 1e-2]), np.array([0.5, 0.5, 0.0]))
 
 
@@ -262,6 +325,7 @@ def quality(
     features like any other; rows without an id are scored but never taught from;
     repeated rows each get a row. Without labels of both kinds all scores are the
     share of label 1. Columns other than lang, source and n_chars are ignored.
+    Ids are taken as bigint: those that are no number stop the query.
     """
     table = materialise(features(docs, id_col, text_col), "quality_features")
     views, blend = co_train(table, labels, id_col, rounds, added, most_labelled)

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from odd_documents import documents, no_docs, odd_docs, odd_rows, prepared  # noqa: F401
 from orestar.llm import quality, toxicity
 
@@ -112,6 +113,68 @@ def test_quality_views_teach_each_other(spark, corpus):
     assert not np.allclose(before["meta"].weights, after["meta"].weights)
 
 
+def area(score, label):
+    pairs = [(a > b) + (a == b) / 2 for a, y in zip(score, label) if y for b, z in zip(score, label) if not z]
+    return sum(pairs) / len(pairs)
+
+
+def test_useless_view_teaches_nothing(spark, corpus):
+    """All metadata are alike: the text view stays as it was, whatever the rounds."""
+    rows, labels = corpus
+    marked = [(i, t + " ###" * 20 if i % 3 == 0 else t, "en", "s") for i, t, _, _ in rows]
+    table = quality.features(documents(spark, marked))
+    few = labels.where("doc_id < 200")
+    before, _ = quality.co_train(table, few, "doc_id", 0, 50, 1000)
+    after, _ = quality.co_train(table, few, "doc_id", 3, 50, 1000)
+    np.testing.assert_array_equal(before["text"].weights, after["text"].weights)
+
+
+def test_exchange_helps_the_weaker_view(spark, corpus):
+    """The source tells the label; from few labels the text view alone knows little."""
+    rows, labels = corpus
+    rng = random.Random(3)
+    marked = [(i, t + " q" * rng.randint(0, 3) if i % 3 == 0 else t, "en", "bad" if i % 3 == 0 else "good") for i, t, _, _ in rows]
+    docs, few = documents(spark, marked), labels.where("doc_id < 120")
+    areas = []
+    for rounds in (0, 3):
+        found = quality.quality(docs, few, rounds=rounds, added=100).where("doc_id >= 120").collect()
+        areas.append(area([r.text_score for r in found], [r.doc_id % 3 != 0 for r in found]))
+    assert areas[1] > areas[0] + 0.03, areas
+
+
+def test_trust():
+    y = np.array([1] * 10 + [0] * 10)
+    odds = np.where(y == 1, 4.0, -4.0)
+    assert quality.trust(odds, y) == pytest.approx({1: 2 * 11 / 12 - 1, 0: 2 * 11 / 12 - 1})
+    assert quality.trust(-odds, y) == {1: 0, 0: 0}
+    assert quality.trust(np.zeros(20), y) == {1: 0, 0: 0}
+    assert quality.trust(odds / 4, y) == {1: 0, 0: 0}
+    assert quality.trust(odds[:10], y[:10]) == {1: 0, 0: 0}
+
+
+def test_rows_taught_against_brute_force(spark):
+    """Beyond the limit, one of equal features, none taught before, ties by a hash of the id."""
+    rng = random.Random(5)
+    rows = [(i, rng.randrange(60), None) for i in range(300)]
+    rows = [(i, v, [-9.0, -3.0, -2.0, 0.0, 2.0, 2.5, 2.5, 8.0][v % 8]) for i, v, _ in rows]
+    scores = spark.createDataFrame(rows, "doc_id bigint, vector bigint, text double")
+    taught = [0, 1, 7]
+
+    def hashed(i):
+        return np.uint64(xxhash.xxh64(int(i).to_bytes(8, "little"), seed=42).intdigest()).astype(np.int64)
+
+    expected = []
+    for label, sign in ((0, -1), (1, 1)):
+        best = {}
+        for i, vector, odds in rows:
+            if sign * odds >= np.log(9) and vector not in taught:
+                best[vector] = min(best.get(vector, (hashed(i), i, -sign * odds)), (hashed(i), i, -sign * odds))
+        ordered = sorted((odds, h, i, v) for v, (h, i, odds) in best.items())[:9]
+        expected += [(i, v, label) for _, _, i, v in ordered]
+    found = quality._surest(scores, "text", [0, 1], 9, taught, 0.9)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def test_quality_without_labels(corpus, odd_docs, no_docs):
     _, labels = corpus
     assert len({r.score for r in quality.quality(odd_docs, labels.where("false")).collect()}) == 1
