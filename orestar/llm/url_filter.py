@@ -59,13 +59,25 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]],
     return F.coalesce(*found, F.lit(None).cast("string"))
 
 
-def names_of(host: str, path: str) -> Column:
-    """Every name a URL can be listed under: each host suffix, alone and with each directory of the path."""
-    labels = f"split({host}, '[.]')"
-    suffixes = f"transform(sequence(1, size({labels})), i -> array_join(slice({labels}, i, size({labels})), '.'))"
-    parts = f"split({path}, '/')"
-    folders = f"transform(sequence(1, size({parts})), i -> concat(array_join(slice({parts}, 1, i), '/'), '/'))"
-    paths = f"array_distinct(concat(array(''), if({path} = '', array(), concat({folders}, array({path})))))"
+def names_of(host: str, path: str, host_chars: int, path_chars: int) -> Column:
+    """The names a URL can be listed under: each host suffix, alone and with each directory of the path.
+
+    Only suffixes of at most ``host_chars`` and paths of at most ``path_chars`` code
+    points are written, as no entry is longer; a URL of any length makes no more.
+    """
+    # One code point more tells whether the cut fell between two labels or directories.
+    labels = f"split(right({host}, {host_chars + 1}), '[.]')"
+    suffixes = (
+        f"filter(transform(sequence(1, size({labels})), i -> array_join(slice({labels}, i, size({labels})), '.')),"
+        f" (h, i) -> char_length(h) <= {host_chars} AND (i > 0 OR char_length({host}) <= {host_chars}))"
+    )
+    parts = f"split(left({path}, {path_chars}), '/')"
+    folders = (
+        f"filter(transform(sequence(1, size({parts})), i -> concat(array_join(slice({parts}, 1, i), '/'), '/')),"
+        f" (p, i) -> char_length(p) <= {path_chars} AND (i < size({parts}) - 1 OR char_length({path}) < {path_chars}))"
+    )
+    whole = f"if(char_length({path}) <= {path_chars}, array({path}), array())"
+    paths = f"array_distinct(concat(array(''), if({path} = '', array(), concat({folders}, {whole}))))"
     return F.expr(f"flatten(transform({suffixes}, h -> transform({paths}, p -> concat(h, p))))")
 
 
@@ -145,8 +157,15 @@ def judge_urls(
 
     A null URL, or one without ``://``, has an empty host and path and is allowed.
     An empty list or table blocks nothing. Repeated rows and null ids each get a
-    row. Other columns are ignored.
+    row. Other columns are ignored. The names written for a URL grow with the
+    longest entry of the list, not with the URL.
     """
+    entries = materialise(entries.select("entry").where("entry IS NOT NULL").distinct(), "url_list")
+    slash = "instr(entry, '/')"
+    longest = entries.agg(
+        F.expr(f"coalesce(max(if({slash} = 0, char_length(entry), {slash} - 1)), 0)").alias("host"),
+        F.expr(f"coalesce(max(if({slash} = 0, 0, char_length(entry) - {slash} + 1)), 0)").alias("path"),
+    ).first()
     parts = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     parts = parts.withColumns(
         {
@@ -155,7 +174,7 @@ def judge_urls(
         }
     )
     open_places = parts.where("ruled IS NULL AND host <> ''").select("host", "path").distinct()
-    named = open_places.select("host", "path", F.explode(names_of("host", "path")).alias("name"))
+    named = open_places.select("host", "path", F.explode(names_of("host", "path", longest.host, longest.path)).alias("name"))
     listed = listed_names(named, entries)
     blocked = named.join(listed, "name").select("host", "path").distinct().withColumn("listed", F.lit(True))
     verdict = F.coalesce("ruled", F.when(F.col("listed"), "block"), F.lit("allow"))

@@ -124,6 +124,52 @@ def test_urls_without_pages_or_entries(spark):
     assert url_filter.spam_hosts(pages.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("longest", [["e.org"], ["a.e.org/d/"], ["/d/"], ["e.org/d/d"], ["e.org/d/d/d/d/d/d", "org"]])
+def test_names_as_long_as_the_longest_entry(spark, longest):
+    """Hosts and paths shorter than, as long as and longer than the entries."""
+    hosts = ["e.org", "a.e.org", "b.a.e.org", "xe.org", "org", "e.org.", ".org", "aa.e.org"]
+    paths = ["", "/", "/d", "/d/", "/d/d", "/d/d/", "/d/dd", "/d//", "/dd/d", "/d/d/d/d/d/d", "/d/d/d/d/d/d/d"]
+    urls = [f"http://{h}{p}" for h in hosts for p in paths]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    found = url_filter.judge_urls(pages, spark.createDataFrame([(e,) for e in longest], "entry string"), rules=())
+
+    def listed(host, path):
+        tails = [".".join(host.split(".")[i:]) for i in range(host.count(".") + 1)]
+        folders = ["", path, *("/".join(path.split("/")[:i]) + "/" for i in range(1, path.count("/") + 2) if path)]
+        return any(t + f in longest for t in tails for f in folders)
+
+    expected = {i: "block" if listed(*re.match(r"http://([^/]*)(.*)", u).groups()) else "allow" for i, u in enumerate(urls)}
+    assert {r.page_id: r.verdict for r in found.collect()} == expected
+
+
+def test_very_long_urls(spark):
+    """A million code points in the path, in the host, and in one label."""
+    urls = [
+        "http://bad.org/" + "d/" * 500_000, "http://good.org/list/" + "d/" * 500_000, "http://good.org/lists/" + "d/" * 500_000,
+        "http://" + "a." * 500_000 + "bad.org/x", "http://" + "a" * 1_000_000 + ".org/x", "http://" + "a" * 1_000_000 + ".bad.org",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    entries = spark.createDataFrame([("bad.org",), ("good.org/list/",)], "entry string")
+    found = url_filter.judge_urls(pages, entries, rules=()).select("page_id", "verdict").collect()
+    assert [v for _, v in sorted(map(tuple, found))] == ["block", "block", "allow", "block", "allow", "block"]
+
+
+def test_large_list_with_paths(spark, monkeypatch):
+    """Three hundred thousand entries over many ranges: hosts, directories and files."""
+    monkeypatch.setattr(url_filter, "RANGE_ROWS", 1 << 15)
+    n = 300_000
+    entries = spark.range(n).selectExpr(
+        "concat('h', id, '.net', CASE id % 3 WHEN 0 THEN '' WHEN 1 THEN concat('/d', id, '/') ELSE '/a/b.html' END) AS entry"
+    )
+    pages = spark.range(0, 2 * n, 7).selectExpr(
+        "id AS page_id", "concat('http://www.h', id, '.net/', CASE id % 2 WHEN 0 THEN 'a/b.html' ELSE concat('d', id, '/x') END) AS url"
+    )
+    found = url_filter.judge_urls(pages, entries, rules=())
+    listed = "page_id < {n} AND (page_id % 3 = 0 OR page_id % 3 = 1 AND page_id % 2 = 1 OR page_id % 3 = 2 AND page_id % 2 = 0)".format(n=n)
+    assert found.where(f"(verdict = 'block') <> ({listed})").count() == 0
+    assert found.count() == pages.count()
+
+
 def test_digest_array_confirms_strings():
     array = url_filter.DigestArray(np.array([5, 5, -7, 5]), ["a", "b", "c", "é"])
     assert array.has(np.array([5, 5, 5, -7, 9]), ["b", "é", "x", "c", "a"]).tolist() == [True, True, False, True, False]
