@@ -209,6 +209,16 @@ def _counts_with_estimates(*by: str) -> Query:
     return run
 
 
+def _summary_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary reports of the batch job, stacked: all come from one stored pass over the star."""
+    found = materialise(reports.summaries(_star(spark, sf_dir)), "summaries")
+    stacked = [report(found).select("*", F.lit(name).alias("report")) for name, report in reports.FROM_SUMMARIES.items()]
+    told = stacked[0]
+    for more in stacked[1:]:
+        told = told.unionByName(more, allowMissingColumns=True)
+    return told
+
+
 def _point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _silver(spark, sf_dir)
     return reports.sales_point_in_time(tables["crm_sales_details"], tables["crm_prd_info"])
@@ -293,6 +303,7 @@ def _queries() -> dict[str, Query]:
         "check_v4_null_listed": _unlisted_by(lambda c: c.selectExpr("nullif(id, 'LA_B1') AS id")),
         "check_v4_empty_list": _unlisted_by(lambda c: c.where("length(id) > 50")),
         "check_v13_sample": _sample_preview,
+        "check_v34_all_masters": _check(checks.customers_in_no_master, "all"),
         "report_sales_by_country": _report(reports.sales_by_country),
         "report_revenue_by_category": _report(reports.revenue_by_category),
         "report_sales_trend": _report(reports.sales_trend),
@@ -307,6 +318,7 @@ def _queries() -> dict[str, Query]:
         "report_sales_by_customer_attr": _report(reports.sales_by_customer_attribute),
         "report_sales_by_product_line": _report(reports.sales_by_product_line),
         "report_sales_by_cost": _report(reports.sales_by_cost),
+        "report_summaries": _summary_reports,
         **training_data_queries(),
     }
 

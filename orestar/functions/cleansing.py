@@ -46,6 +46,12 @@ def product_part(product_key: str) -> str:
     return f"substr({product_key}, 7)"
 
 
+def customer_key_of(number: str) -> str:
+    """The key a customer number is printed as: eight digits at least."""
+    digits = f"CAST({number} AS string)"
+    return f"concat('AW', lpad({digits}, greatest(8, length({digits})), '0'))"
+
+
 def erp_customer_key(cid: str) -> str:
     bare = f"substr({cid}, {len(ERP_ID_PREFIX) + 1})"
     return f"if(startswith({cid}, '{ERP_ID_PREFIX}'), {bare}, {cid})"

@@ -243,6 +243,19 @@ def customers_not_in_master(bronze: Tables, silver: Tables) -> DataFrame:
     )
 
 
+def customers_in_no_master(bronze: Tables, silver: Tables) -> DataFrame:
+    """V34 against everyone either system knows: CRM ids, CRM keys and ERP keys in one list.
+
+    A customer is known if the number in the sale is listed, as it is or as a key.
+    """
+    crm, erp = silver["crm_cust_info"], silver["erp_cust_az12"]
+    known = crm.selectExpr("CAST(cst_id AS string) AS known").union(crm.select("cst_key")).union(erp.select("cid")).distinct()
+    used = silver["crm_sales_details"].where("sls_cust_id IS NOT NULL").select("sls_cust_id").distinct()
+    missing = used.join(known, F.expr("CAST(sls_cust_id AS string) = known"), "left_anti")
+    missing = missing.join(known, F.expr(f"{c.customer_key_of('sls_cust_id')} = known"), "left_anti")
+    return metric_rows(missing.selectExpr("count(*) AS unknown_to_all"), "v34", "silver.crm_sales_details", FAIL)
+
+
 def reconciliation(bronze: Tables, silver: Tables) -> DataFrame:
     """Rows per table in both layers, counted side by side and paired by name."""
     counts = [

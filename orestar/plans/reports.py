@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orestar.operators.grouped_sets import grouped_sets
 from orestar.operators.interval_index import join_in_interval
 from orestar.operators.sketches import sketch_cells, united_counts, within_error
 
@@ -32,10 +33,12 @@ def revenue_by_category(star: DataFrame) -> DataFrame:
 def sales_trend(star: DataFrame) -> DataFrame:
     """Per month, with a running total. The unpartitioned window sees one row per month."""
     dated = star.selectExpr("*", "year(order_date) AS order_year", "month(order_date) AS order_month")
+    return _with_running_sales(_summary(dated, ["order_year", "order_month"]))
+
+
+def _with_running_sales(months: DataFrame) -> DataFrame:
     so_far = "OVER (ORDER BY order_year, order_month ROWS UNBOUNDED PRECEDING)"
-    return _summary(dated, ["order_year", "order_month"]).selectExpr(
-        "*", f"sum(total_sales) {so_far} AS running_sales"
-    )
+    return months.selectExpr("*", f"sum(total_sales) {so_far} AS running_sales")
 
 
 def profit(star: DataFrame) -> DataFrame:
@@ -162,16 +165,58 @@ def counts_with_estimates(star: DataFrame, cells: DataFrame, by: list[str]) -> D
     return exact.join(estimated, F.expr(same), "left").selectExpr(*by, *SKETCHED, "total_sales", *judged)
 
 
-# Reports over the star, by the name of their table.
+_ORDER_SETS = {
+    "country": ["country"],
+    "category": ["category", "subcategory"],
+    "month": ["order_year", "order_month"],
+    "product_line": ["product_line"],
+    "cost": ["cost_from"],
+}
+_SUM_SETS = {"known_category": ["category", "known_product"], "gender": ["gender"], "marital_status": ["marital_status"]}
+
+
+def summaries(star: DataFrame, band: int = 100) -> DataFrame:
+    """What the summary reports tell, from one pass over the star; one row per set of columns and its values.
+
+    ``from_summaries`` makes the reports of it. It holds a row per country, category,
+    month, line, band of cost, gender and marital status, whatever the sales.
+    """
+    told = star.selectExpr(
+        "country", "category", "subcategory", "year(order_date) AS order_year", "month(order_date) AS order_month", "product_line",
+        f"floor(cost / {band}) * {band} AS cost_from", "product_key IS NOT NULL AS known_product", "gender", "marital_status",
+        "order_number", "sales_amount", "quantity", "CAST(quantity AS bigint) * cost AS line_cost",
+    )
+    sums = {"total_sales": "sales_amount", "units": "quantity", "total_cost": "line_cost", "profit": "sales_amount - line_cost"}
+    return grouped_sets(told, {**_ORDER_SETS, **_SUM_SETS}, "order_number", sums, list(_ORDER_SETS)).withColumnRenamed("n_counted", "orders")
+
+
+def _of_set(found: DataFrame, name: str) -> DataFrame:
+    own = found.where(F.col("grouped_by") == name)
+    return own.select(*_ORDER_SETS[name], "total_sales", "orders", "units")
+
+
+def _attributes(found: DataFrame) -> DataFrame:
+    named = "CASE grouped_by WHEN 'gender' THEN gender WHEN 'country' THEN country ELSE marital_status END AS value"
+    own = found.where("grouped_by IN ('gender', 'country', 'marital_status')")
+    return own.selectExpr("grouped_by AS attribute", named, "total_sales", "units")
+
+
+# The reports that a stored ``summaries`` holds, by the name of their table.
+FROM_SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "sales_by_country": lambda found: _of_set(found, "country"),
+    "revenue_by_category": lambda found: _of_set(found, "category"),
+    "sales_trend": lambda found: _with_running_sales(_of_set(found, "month")),
+    "profit": lambda found: found.where("grouped_by = 'known_category' AND known_product").select(
+        "category", "total_sales", "total_cost", "profit"
+    ),
+    "sales_by_customer_attribute": _attributes,
+    "sales_by_product_line": lambda found: _of_set(found, "product_line"),
+    "sales_by_cost": lambda found: _of_set(found, "cost"),
+}
+
+# Reports that read the star themselves.
 STAR_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "sales_by_country": sales_by_country,
-    "revenue_by_category": revenue_by_category,
-    "sales_trend": sales_trend,
-    "profit": profit,
     "customers": customers,
     "products": products,
-    "sales_by_customer_attribute": sales_by_customer_attribute,
-    "sales_by_product_line": sales_by_product_line,
-    "sales_by_cost": sales_by_cost,
     "monthly_sketches": monthly_sketches,
 }

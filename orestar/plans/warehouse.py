@@ -149,12 +149,18 @@ class Warehouse:
         return stored.where(stored.batch_id == self.log.batch_id)
 
     def build_reports(self) -> None:
-        """The reports over the stored gold layer, each as a table."""
+        """The reports over the stored gold layer, each as a table; the summary reports from one pass over it."""
         star = self.star()
         clean = self.layer(SILVER)
         tables = {name: lambda report=report: report(star) for name, report in reports.STAR_REPORTS.items()}
         tables["sales_point_in_time"] = lambda: reports.sales_point_in_time(clean["crm_sales_details"], clean["crm_prd_info"])
+        tables["summaries"] = lambda: reports.summaries(star)
         self._each(REPORTS, tables, lambda table: Loaded(self.lake.overwrite(tables[table](), REPORTS, table)))
+        found = self.lake.read(REPORTS, "summaries")
+        self._each(
+            REPORTS, reports.FROM_SUMMARIES,
+            lambda table: Loaded(self.lake.overwrite(reports.FROM_SUMMARIES[table](found), REPORTS, table)),
+        )
 
     def star(self) -> DataFrame:
         """Gold as the reports read it."""

@@ -263,6 +263,25 @@ FROM (SELECT *, CAST(year(order_date) AS INT) AS order_year FROM sales_star) GRO
     "report_sales_by_cost": f"SELECT CAST(floor(cost / 100.0) AS BIGINT) * 100 AS cost_from, {_MEASURES} FROM sales_star GROUP BY ALL",
 }
 
+_GOLD_AND_REPORTS["check_v34_all_masters"] = _metrics(
+    "v34",
+    "silver.crm_sales_details",
+    """silver_sales s WHERE NOT EXISTS (
+ FROM (SELECT CAST(cst_id AS VARCHAR) AS k FROM silver_customers UNION SELECT cst_key FROM silver_customers UNION SELECT cid FROM silver_people)
+ WHERE k = CAST(sls_cust_id AS VARCHAR) OR k = 'AW' || lpad(CAST(sls_cust_id AS VARCHAR), CAST(greatest(8, length(CAST(sls_cust_id AS VARCHAR))) AS INTEGER), '0'))""",
+    "FAIL",
+    unknown_to_all="count(DISTINCT sls_cust_id)",
+)
+
+_GOLD_AND_REPORTS["report_summaries"] = "\nUNION ALL BY NAME ".join(
+    f"SELECT *, '{name}' AS report FROM ({_GOLD_AND_REPORTS[query]})"
+    for name, query in {
+        "sales_by_country": "report_sales_by_country", "revenue_by_category": "report_revenue_by_category",
+        "sales_trend": "report_sales_trend", "profit": "report_profit", "sales_by_customer_attribute": "report_sales_by_customer_attr",
+        "sales_by_product_line": "report_sales_by_product_line", "sales_by_cost": "report_sales_by_cost",
+    }.items()
+)
+
 # A field left empty in a CSV file reads back as NULL.
 _EMPTY_AS_NULL = {"erp_cust_az12": "SELECT cid, bdate, nullif(gen, '') AS gen FROM erp_cust_az12"}
 
