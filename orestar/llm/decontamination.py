@@ -3,9 +3,10 @@
 A benchmark item becomes windows of ``WINDOW`` consecutive words. A window is a
 set of word shingles that a document has to contain whole, so its prefix under
 the rarity order is one shingle: the one with the fewest occurrences in the
-corpus. Only that shingle is joined to find candidates. A match fixes where the
-window would start; length and position bounds and then all shingles of the
-window, each at its place and compared by its words, decide.
+corpus. A first pass over the texts only counts the benchmark's shingles, by
+their hashes; a second joins each window's prefix alone. A match fixes where the
+window would start; length and position bounds and then the words that stand
+there decide.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from orestar.workspace import materialise
 WINDOW = 10
 SHINGLE = 3
 # The benchmark's shingles are sent to every executor up to this size; beyond it
-# the join shuffles.
+# the join shuffles, after a sieve of at most SIEVE rows.
 BROADCAST_BYTES = 32 << 20
+SIEVE = 1 << 20
 # Fixed value: what separates words.
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -43,14 +45,6 @@ def _windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _window_shingles(windows: DataFrame) -> DataFrame:
-    """Every shingle of every window: window, offset, shingle (its words with spaces), width."""
-    width = F.least(F.lit(SHINGLE), F.size("words"))
-    starts = F.expr(f"sequence(1, size(words) - least({SHINGLE}, size(words)) + 1)")
-    placed = windows.select("window", "words", width.alias("width"), F.posexplode(starts).alias("offset", "start"))
-    return placed.select("window", "offset", F.expr("array_join(slice(words, start, width), ' ')").alias("shingle"), "width")
-
-
 def _fits(df: DataFrame, limit: int) -> bool:
     """Whether the rows of ``df`` stay below ``limit`` bytes in memory."""
     per_row = F.octet_length(F.to_json(F.struct(*df.columns))) + 64
@@ -63,70 +57,72 @@ def _key_at(width: int) -> Column:
     return F.when(parts[-1].isNotNull(), F.xxhash64(*parts))
 
 
-def _shingles_met(docs: DataFrame, shingles: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """One row per document (shingle null), and one per place in it where a benchmark shingle stands.
-
-    A hash finds the place, the words themselves confirm it.
-    """
-    widths = sorted(r.width for r in shingles.select("width").distinct().collect())
-    own = ["doc_id", "digest", "n_words"]
-    key = F.coalesce(*(F.when(F.col("width") == x, F.xxhash64(*(F.expr(f"get(split(shingle, ' '), {i})") for i in range(x)))) for x in widths or [SHINGLE]))
-    known = materialise(shingles.select("shingle", "width", key.alias("known_key")), "benchmark_shingles")
-    small = _fits(known, broadcast_bytes)
-    # Position n_words is past the last word and stands for the document itself.
-    at = docs.select(*own, "words", F.explode(F.expr("sequence(0, n_words)")).alias("pos"))
+def _window_shingles(windows: DataFrame) -> DataFrame:
+    """Every shingle of every window: window, len, width, offset, known_key (the hash of its words)."""
+    placed = windows.select(
+        "window", "words", F.size("words").alias("len"), F.least(F.lit(SHINGLE), F.size("words")).alias("width")
+    ).withColumn("pos", F.expr("explode(sequence(0, len - width))"))
+    key = F.coalesce(*(F.when(F.col("width") == x, _key_at(x)) for x in range(1, SHINGLE + 1)))
+    return placed.select("window", "len", "width", F.col("pos").alias("offset"), key.alias("known_key"))
+
+
+def _places(docs: DataFrame, widths: list[int]) -> DataFrame:
+    """The shingle hashes of every place in a document; position n_words is past the last word and stands for itself."""
+    own = ["doc_id", "digest", "n_words", "words"]
+    at = docs.select(*own, F.explode(F.expr("sequence(0, n_words)")).alias("pos"))
     if len(widths) == 1:
-        at = at.withColumn("key", _key_at(widths[0])).withColumn("width_at", F.lit(widths[0]))
-    else:
-        keys = F.array(*(F.struct(F.lit(x).alias("width_at"), _key_at(x).alias("key")) for x in widths or [SHINGLE]))
-        at = at.select(*own, "words", "pos", F.inline(F.when(F.col("pos") == F.col("n_words"), F.slice(keys, 1, 1)).otherwise(keys)))
-    confirmed = F.expr("array_join(slice(words, pos + 1, width_at), ' ') = shingle")
-    if small:
-        met = at.join(F.broadcast(known), at["key"] == known["known_key"], "left").where(
-            (F.col("pos") == F.col("n_words")) | F.coalesce(confirmed, F.lit(False))
-        )
-        return met.select(*own, "pos", "shingle")
-    text = F.expr("array_join(slice(words, pos + 1, width_at), ' ')")
-    places = at.where("key IS NOT NULL").select(*own, "pos", "key", text.alias("text"))
-    met = places.join(known, (places["key"] == known["known_key"]) & (places["text"] == known["shingle"]))
-    documents = docs.select(*own, F.col("n_words").alias("pos"), F.lit(None).cast("string").alias("shingle"))
-    return met.select(*own, "pos", "shingle").unionAll(documents)
+        return at.withColumn("key", _key_at(widths[0]))
+    keys = F.array(*(F.struct(_key_at(x).alias("key")) for x in widths))
+    return at.select(*own, "pos", F.inline(F.when(F.col("pos") == F.col("n_words"), F.slice(keys, 1, 1)).otherwise(keys)))
+
 
+def _sieved(places: DataFrame, keys: DataFrame) -> DataFrame:
+    """``places`` without most that have none of the keys; at most ``SIEVE`` rows are broadcast, whatever the keys."""
+    holes = keys.select(F.pmod("known_key", F.lit(SIEVE)).alias("hole")).distinct()
+    return places.where("key IS NOT NULL").join(F.broadcast(holes), F.pmod("key", F.lit(SIEVE)) == F.col("hole"), "left_semi")
 
-def _occurrences(met: DataFrame, shingles: DataFrame) -> DataFrame:
-    """Where windows occur: doc_id, digest, start, window."""
-    frequency = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+
+def _prefixes(docs: DataFrame, shingles: DataFrame, widths: list[int], broadcast_bytes: int) -> DataFrame:
+    """The rarest shingle of each window, of those of which the corpus holds all: window, len, offset, known_key."""
+    known = materialise(shingles.select("known_key").distinct(), "benchmark_shingles")
+    keys = _places(docs, widths).select("key")
+    if _fits(known, broadcast_bytes):
+        met = keys.join(F.broadcast(known), keys["key"] == known["known_key"])
+        counts = met.groupBy("known_key").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        # Counted inside the tasks before anything meets.
+        all_counts = _sieved(keys, known).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        counts = all_counts.join(known, all_counts["key"] == known["known_key"]).select("known_key", "n")
     # A window with a shingle that occurs nowhere is left out by the count.
     rarest = (
-        shingles.join(frequency, "shingle", "left")
-        .groupBy("window")
-        .agg(
-            F.min(F.struct("n", "offset", "shingle")).alias("rarest"),
-            F.count(F.lit(1)).alias("needed"),
-            F.count("n").alias("seen"),
-            F.max(F.col("offset") + F.col("width")).alias("len"),
-        )
+        shingles.join(counts, "known_key", "left")
+        .groupBy("window", "len")
+        .agg(F.min(F.struct("n", "offset", "known_key")).alias("rarest"), F.count(F.lit(1)).alias("needed"), F.count("n").alias("seen"))
         .where("needed = seen")
-        .select("window", "needed", "len", F.col("rarest.offset").alias("offset"), F.col("rarest.shingle").alias("shingle"))
-    )
-    candidates = (
-        met.join(materialise(rarest, "rarest"), "shingle")
-        .withColumn("start", F.col("pos") - F.col("offset"))
-        .where("start >= 0 AND start + len <= n_words")
-        .select("doc_id", "digest", "start", "window", "needed")
-        .distinct()
     )
-    expected = candidates.join(shingles.select("window", "offset", F.col("shingle").alias("due")), "window")
-    expected = expected.withColumn("due_pos", F.col("start") + F.col("offset")).withColumnsRenamed(
-        {"doc_id": "due_id", "digest": "due_digest"}
-    )
-    there = expected.join(
-        met,
-        same(expected["due_id"], met["doc_id"]) & (expected["due_digest"] == met["digest"])
-        & (expected["due_pos"] == met["pos"]) & (expected["due"] == met["shingle"]),
-    )
-    whole = there.groupBy("doc_id", "digest", "start", "window", "needed").agg(F.count_distinct("offset").alias("have"))
-    return whole.where("have = needed").select("doc_id", "digest", "start", "window")
+    return rarest.select("window", "len", "rarest.offset", "rarest.known_key")
+
+
+def _occurrences(docs: DataFrame, prefixes: DataFrame, widths: list[int], broadcast_bytes: int) -> DataFrame:
+    """One row per document (window null), and one per place ``start`` where a window occurs in it."""
+    own = ["doc_id", "digest", "n_words"]
+    start = F.col("pos") - F.col("offset")
+    inside = (start >= 0) & (start + F.col("len") <= F.col("n_words"))
+    there = F.expr("array_join(slice(words, greatest(start, 0) + 1, len), ' ') = window")
+    places = _places(docs, widths)
+    if _fits(prefixes, broadcast_bytes):
+        met = places.join(F.broadcast(prefixes), places["key"] == prefixes["known_key"], "left").withColumn("start", start)
+        return met.where((F.col("pos") == F.col("n_words")) | F.coalesce(inside & there, F.lit(False))).select(*own, "start", "window")
+    met = _sieved(places.select(*own, "pos", "key"), prefixes).join(prefixes, F.col("key") == F.col("known_key"))
+    candidates = met.where(inside).select(
+        F.col("doc_id").alias("met_id"), F.col("digest").alias("met_digest"), start.alias("start"), "len", "window"
+    ).distinct()
+    # The words are read from the candidate documents once more.
+    confirmed = docs.join(
+        candidates, same(docs["doc_id"], candidates["met_id"]) & (docs["digest"] == candidates["met_digest"])
+    ).where(there)
+    documents = docs.select(*own, F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("window"))
+    return confirmed.select(*own, "start", "window").unionAll(documents)
 
 
 def contamination(
@@ -142,8 +138,9 @@ def contamination(
 
     A word is hit if it lies inside an occurrence of a window. The corpus counts
     that order the shingles, the search and the check all cover whole texts,
-    which are read once. The shingles of the benchmark are broadcast if they are
-    measured to fit, and shuffled otherwise; both ways give the same rows.
+    which are read once to count and once to search. The shingles of the
+    benchmark are broadcast if they are measured to fit, and shuffled otherwise;
+    both ways give the same rows.
 
     Null and empty texts have no words and are clean. Items without words, or
     without an id, match nothing; items of one text are all counted. Repeated
@@ -154,8 +151,10 @@ def contamination(
     ).withColumn("n_words", F.size("words"))
     windows = materialise(_windows(benchmark, item_col, item_text_col), "windows")
     shingles = materialise(_window_shingles(windows), "window_shingles")
-    met = materialise(_shingles_met(prepared, shingles.select("shingle", "width").distinct(), broadcast_bytes), "shingles_met")
-    found = _occurrences(met.where("shingle IS NOT NULL"), shingles)
+    widths = sorted(r.width for r in shingles.select("width").distinct().collect()) or [SHINGLE]
+    prefixes = materialise(_prefixes(prepared, shingles, widths, broadcast_bytes), "rarest")
+    met = materialise(_occurrences(prepared, prefixes, widths, broadcast_bytes), "occurrences")
+    found = met.where("window IS NOT NULL").select("doc_id", "digest", "start", "window").distinct()
     hits = (
         found.join(windows, "window")
         .groupBy("doc_id", "digest")
@@ -173,7 +172,7 @@ def contamination(
         )
         .select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"), "hit", "items")
     )
-    documents = met.where("shingle IS NULL").select("doc_id", "digest", F.col("n_words").cast("long").alias("n_words"))
+    documents = met.where("window IS NULL").select("doc_id", "digest", F.col("n_words").cast("long").alias("n_words"))
     met_hits = documents.join(hits, same(documents["doc_id"], hits["hit_id"]) & (documents["digest"] == hits["hit_digest"]), "left")
     n_hit = F.coalesce("hit", F.lit(0).cast("long"))
     return met_hits.select(

@@ -73,3 +73,27 @@ def test_empty_tables(spark, odd_docs, no_docs):
     assert decontamination.contamination(no_docs, items).count() == 0
     rows = decontamination.contamination(odd_docs, nothing).collect()
     assert len(rows) == odd_docs.count() and not any(r.contaminated for r in rows)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [decontamination.BROADCAST_BYTES, 0])
+def test_a_passage_in_all_items_and_a_shingle_in_all_texts(spark, broadcast_bytes):
+    shared = " ".join(f"s{i}" for i in range(12))
+    items = [(i, f"own{i} a b c {shared} a b c end{i}") for i in range(40)]
+    docs = [(i, "a b c " * (i % 50) + (shared if i % 3 == 0 else f"own{i % 40} a b c s0 s1 s2 s3 s4 s5 s6"), None, None) for i in range(120)]
+    table = spark.createDataFrame([d[:2] for d in docs], "doc_id bigint, text string")
+    found = decontamination.contamination(table, spark.createDataFrame(items, "item_id bigint, text string"), broadcast_bytes=broadcast_bytes)
+    assert sorted(map(tuple, found.drop("digest").collect()), key=repr) == brute(docs, items)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [decontamination.BROADCAST_BYTES, 0])
+def test_only_the_rarest_shingle_of_a_window_is_joined(spark, broadcast_bytes):
+    """One prefix for each window whose shingles all occur somewhere, by the counts of the whole corpus."""
+    items = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "a b c d e"), (3, "a b c x y"), (4, "j")], "item_id bigint, text string")
+    texts = ["a b c " * 9, "a b c d e f g h i j", "a b c d e", "d e f g h i j", "b c d", "c d e f"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").select(
+        decontamination.words_of(decontamination.F.col("text")).alias("words"), "doc_id"
+    ).selectExpr("doc_id", "doc_id AS digest", "words", "size(words) AS n_words")
+    shingles = decontamination._window_shingles(decontamination._windows(items, "item_id", "text"))
+    found = decontamination._prefixes(docs, shingles, [1, 3], broadcast_bytes).collect()
+    # Shingles by their places: "a b c" 11, "b c d" 3, "c d e" 3, "d e f" 3 and those after it 2.
+    assert {(r.window, r.len, r.offset) for r in found} == {("a b c d e f g h i j", 10, 4), ("a b c d e", 5, 1), ("j", 1, 0)}
