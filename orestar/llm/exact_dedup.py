@@ -33,7 +33,8 @@ def exact_groups(
     Null texts count as empty, and empty texts equal each other. A null id loses
     against any other id in a tie. Rows that repeat both id and text each get a
     result row, all of them kept if the id is: the id cannot tell them apart.
-    ``remove_exact`` leaves one of them. Other columns are ignored.
+    ``remove_exact`` leaves one of them. Ids are taken as bigint: those that are no
+    number stop the query. Other columns are ignored.
     """
     rows = _rows(docs, id_col, text_col, hash_bytes)
     groups = (

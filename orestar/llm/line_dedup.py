@@ -164,7 +164,7 @@ def deduplicate_lines(
 
     Null and empty texts are one empty line. Rows that share an id are one
     document when counting holders, and each gets a result row. A null id counts
-    as the largest. Other columns are ignored.
+    as the largest. Ids are numbers: others stop the query. Other columns are ignored.
     """
     drops = (
         _dropped_lines(docs, id_col, text_col, min_key, batches, fanout)
