@@ -97,23 +97,35 @@ def sales_by_cost(star: DataFrame, band: int = 100) -> DataFrame:
     return _summary(star.selectExpr("*", f"floor(cost / {band}) * {band} AS cost_from"), ["cost_from"])
 
 
+def _last_until(days: str, day: str) -> str:
+    """The last of the sorted ``days`` that is not after ``day``, by bisection; NULL if there is none."""
+    further = "at + shiftleft(1, bit)"
+    bits = f"sequence(CAST(floor(log2(size({days}))) AS int), 0, -1)"
+    return f"get({days}, aggregate({bits}, 0, (at, bit) -> if(get({days}, {further} - 1) <= {day}, {further}, at)) - 1)"
+
+
 def sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
     """Every sale with each product version, and so the cost, valid on its order date.
 
-    The days a product was sold on are matched with its versions by blocks of
-    days (``operators.interval_index``); a sale then looks its day up. Days are
-    bounded by the calendar, and a version or day makes rows with the logarithm
-    of the time between the first and the last sale, so a single mistyped year
-    costs nothing. Versions whose periods overlap give a row each, as the join on
-    the period itself would.
+    Which versions are valid changes only on a day on which one begins or has
+    ended. Those days alone are matched with the versions, by blocks of days
+    (``operators.interval_index``): a few rows a version, none for a sale. A sale
+    finds the last such day of its product by bisection of the product's days,
+    which the calendar bounds, and takes what is valid since then. A single
+    mistyped year costs nothing. Versions whose periods overlap give a row each,
+    as the join on the period itself would.
     """
-    span = sales.selectExpr("struct(min(sls_order_dt) AS first_day, max(sls_order_dt) AS last_day)").scalar()
     valid = versions.select("prd_key", "prd_id", "prd_start_dt", "prd_end_dt", "prd_cost")
-    sold = sales.where("sls_order_dt IS NOT NULL").selectExpr("sls_prd_key AS sold_key", "sls_order_dt AS day").distinct()
+    turns = "explode(array(prd_start_dt, date_add(prd_end_dt, 1))) AS turn"
+    turns = valid.where("prd_key IS NOT NULL AND prd_start_dt IS NOT NULL").selectExpr("prd_key AS turn_key", turns)
+    turns = turns.where("turn IS NOT NULL").distinct()
+    span = turns.selectExpr("struct(min(turn) AS first_day, max(turn) AS last_day)").scalar()
     found = join_in_interval(
-        sold, valid, [("sold_key", "prd_key")], "day", "prd_start_dt", "prd_end_dt", (span.getField("first_day"), span.getField("last_day"))
+        turns, valid, [("turn_key", "prd_key")], "turn", "prd_start_dt", "prd_end_dt", (span.getField("first_day"), span.getField("last_day"))
     ).drop("prd_key")
-    return sales.join(found, F.expr("sls_prd_key = sold_key AND sls_order_dt = day"), "left").selectExpr(
+    days = turns.groupBy(F.col("turn_key").alias("days_key")).agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    dated = sales.join(days, F.expr("sls_prd_key = days_key"), "left").withColumn("since", F.expr(_last_until("turns", "sls_order_dt")))
+    return dated.join(found, F.expr("sls_prd_key = turn_key AND since = turn"), "left").selectExpr(
         "sls_ord_num AS order_number",
         "sls_prd_key",
         "sls_order_dt AS order_date",

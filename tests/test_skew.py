@@ -11,6 +11,7 @@ from conftest import plan_of
 from orestar.operators.anti_join import anti_join_null_aware
 from orestar.operators.latest import latest_by_key
 from orestar.operators.sequence import with_next
+from orestar import session
 from orestar.plans import checks, gold, reports
 from test_operators import same_rows
 
@@ -162,6 +163,48 @@ def test_point_in_time_without_sales(spark, sales):
     assert reports.sales_point_in_time(sales.where("false"), table).count() == 0
 
 
+def test_point_in_time_matches_days_on_which_versions_turn(spark, sales, monkeypatch):
+    """What is matched with the versions grows with the versions, not with the days sold on."""
+    matched, join = [], reports.join_in_interval
+    monkeypatch.setattr(reports, "join_in_interval", lambda points, *rest: matched.append(points) or join(points, *rest))
+    table = versions(spark, random.Random(5))
+    reports.sales_point_in_time(sales, table)
+    assert 0 < matched[0].count() <= 2 * table.count() < sales.select("sls_prd_key", "sls_order_dt").distinct().count()
+
+
+def test_point_in_time_of_odd_versions(spark):
+    """Missing keys and days, copies, versions of one day, versions that end before they begin, sales on every border."""
+    day = lambda n: None if n is None else dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    rng = random.Random(8)
+    spans = [(rng.choice([None, *range(30)]), rng.choice([None, *range(30)])) for _ in range(40)]
+    rows = [(i, rng.choice(["a", "b", None]), i, day(a), day(b)) for i, (a, b) in enumerate(spans)]
+    rows += [(90, "c", 1, day(4), day(4)), (90, "c", 1, day(4), day(4)), (91, "c", 2, day(5), dt.date(9999, 12, 31)), (92, "d", 3, None, day(9))]
+    table = spark.createDataFrame(rows, "prd_id int, prd_key string, prd_cost int, prd_start_dt date, prd_end_dt date")
+    sold = [(f"SO{n}", k, day(n)) for n in [None, *range(-2, 35), 30_000] for k in ("a", "b", "c", "d", "e", None)]
+    sold = spark.createDataFrame(sold, "sls_ord_num string, sls_prd_key string, sls_order_dt date").selectExpr("*", "1 AS sls_sales", "1 AS sls_quantity")
+    found = reports.sales_point_in_time(sold, table)
+    sold.createOrReplaceTempView("odd_sales")
+    table.createOrReplaceTempView("odd_versions")
+    twin = spark.sql(
+        "SELECT sls_ord_num AS order_number, sls_prd_key, sls_order_dt AS order_date, sls_sales AS sales_amount, sls_quantity AS quantity,"
+        " prd_id AS product_id, prd_start_dt AS version_start, prd_end_dt AS version_end, prd_cost AS cost_at_sale"
+        " FROM odd_sales LEFT JOIN odd_versions ON prd_key = sls_prd_key AND sls_order_dt >= prd_start_dt"
+        " AND (prd_end_dt IS NULL OR sls_order_dt <= prd_end_dt)"
+    )
+    assert same_rows(found, twin)
+
+
+def test_tasks_read_bounded_parts(spark, settings):
+    """Sizes of a session that would let one task sort gigabytes are lowered; smaller ones stay."""
+    advisory, threshold = session.LARGEST_READS
+    for given, kept in (("64MB", "16m"), ("1g", "16m"), (str(1 << 30), "16m"), ("8m", "8m"), ("20k", "20k"), ("4096b", "4096b")):
+        settings(**{advisory.replace(".", "__"): given, threshold.replace(".", "__"): "256MB"})
+        session.prepare(spark)
+        assert spark.conf.get(advisory) == kept
+        assert spark.conf.get(threshold) == "48m"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "2"
+
+
 def hot_rows(spark, key):
     """Half of 60,000 rows share one key; the rest of each row does not compress."""
     return spark.range(0, 60_000, numPartitions=8).selectExpr(
