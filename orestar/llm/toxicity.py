@@ -6,8 +6,11 @@ Filters of several widths slide over the whole text. Their largest response in
 each quarter of the text, and in all of it, goes through a rectifier into a
 logistic output, and Platt scaling on rows kept aside makes the output a
 probability. Thresholds are then chosen by
-language on the same rows. The model is fitted, in one task, on a bounded sample
-of labelled rows and has a fixed size; scoring reads every text whole.
+language on the same rows. The model has a fixed size and learns from every
+labelled row outside the held-out fold, each text whole. A few thousand rows are
+learned in one task. Of more, each task learns a part as a stream, from the same
+model, and after each pass the tasks' steps are averaged: those of an embedding
+over the tasks that moved it. Scoring reads every text whole.
 """
 
 from __future__ import annotations
@@ -21,14 +24,18 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from orestar.llm.text import present
+from orestar.workspace import materialise
 
-# The labelled sample: rows of each label, and the longest text in it.
-MOST_TOXIC, MOST_CLEAN, LONGEST_SAMPLE = 3000, 5000, 1 << 17
+# Labelled rows, and characters of them, that one task learns alone; what is more is learned in parts of so many rows.
+ALONE_ROWS, ALONE_CHARS, PART_ROWS, MOST_PARTS = 8000, 1 << 26, 8000, 64
+# Rows gone through before passes over all parts end, and the fewest passes.
+SEEN_ROWS, LEAST_PASSES = 48_000, 2
 # The contract's cut, which is also the threshold where a language has too few labels.
 CUT = 0.3
 LEAST_LABELS = 15
@@ -40,6 +47,8 @@ BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
 PARTS = 4
 PADS = max(WIDTHS) - 1 + PARTS
 EPOCHS, BATCH, RATE = 6, 32, 0.08
+# Buckets whose steps are sent together, and raw outputs told apart by calibration.
+BLOCK_BUCKETS, RAW_DIGITS = 1 << 10, 3
 # Words whose responses a task keeps at hand, and words it pools at once.
 CACHED_WORDS, CHUNK_WORDS = 200_000, 300_000
 
@@ -194,12 +203,14 @@ class Scorer:
         return np.concatenate(found) if found else np.empty(0)
 
 
-def _initial(docs: list[np.ndarray], pieces: Pieces, labels: np.ndarray, rng: np.random.Generator) -> Model:
-    """Small random weights; one dimension starts with how much a bucket leans to toxic texts."""
-    seen = np.zeros((2, BUCKETS), np.float32)
+def _count_buckets(seen: np.ndarray, docs: list[np.ndarray], pieces: Pieces, labels: np.ndarray) -> None:
+    """Add to ``seen`` (label x bucket) the texts that hold a bucket."""
     for words, label in zip(docs, labels):
         seen[int(label), np.unique(pieces.take(np.unique(words)).flat)] += 1
-    base = labels.mean()
+
+
+def _initial(seen: np.ndarray, base: float, rng: np.random.Generator) -> Model:
+    """Small random weights; one dimension starts with how much a bucket leans to toxic texts."""
     total = seen.sum(axis=0)
     lean = (seen[1] - total * base) / np.sqrt(total * base * (1 - base) + 1)
     embeddings = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
@@ -294,44 +305,79 @@ def _log_loss(p: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return float(-(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / w.sum())
 
 
-def train(sample: pd.DataFrame, seed: int = 7) -> Model:
-    """Fit on rows (text, label, aside, weight, lang); rows ``aside`` calibrate, the others train.
+def _numbered(texts: list[str]) -> tuple[list[np.ndarray], Pieces]:
+    """The words of texts by number, and the buckets of the numbers."""
+    numbers: dict[str, int] = {}
+    docs = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in words_of(t)), np.int64) for t in texts]
+    return docs, Pieces.of(list(numbers))
+
+
+def _steps(docs: list[np.ndarray], order: np.ndarray) -> Iterator[np.ndarray]:
+    """``order`` in steps of ``BATCH`` texts, fewer if they hold more than ``CHUNK_WORDS`` words."""
+    first, size = 0, 0
+    for at, doc in enumerate(order):
+        if at > first and (at - first == BATCH or size + len(docs[doc]) > CHUNK_WORDS):
+            yield order[first:at]
+            first, size = at, 0
+        size += len(docs[doc])
+    if first < len(order):
+        yield order[first:]
+
+
+def _learn(model: Model, rules: dict[str, _Adagrad], docs: list[np.ndarray], pieces: Pieces, labels: np.ndarray, order: np.ndarray) -> None:
+    for step in _steps(docs, order):
+        _train_batch(model, rules, [docs[i] for i in step], pieces, labels[step])
+
+
+_TRAINED = ("embeddings", "filters", "bias", "largest", "spread")
+
+
+def _copy(model: Model) -> Model:
+    return replace(model, **{name: getattr(model, name).copy() for name in _TRAINED})
+
+
+def _constant(share: float) -> Model:
+    count = FILTERS * len(WIDTHS)
+    nothing = (np.zeros(n, np.float32) for n in ((1, DIM), (DIM, FILTERS * sum(WIDTHS)), count, count, count))
+    return Model(*nothing, constant=share)
+
+
+def _share(toxic: float, all_rows: float) -> float:
+    """The share of toxic labels, drawn in a little; 0 without labels."""
+    return float((toxic + 1) / (all_rows + 2)) if all_rows else 0.0
+
+
+def train(rows: pd.DataFrame, seed: int = 7) -> Model:
+    """Fit on rows (label_id, label, text, lang, aside) in one task; rows ``aside`` calibrate, the others train.
 
     Without rows of both labels the model is the constant share of toxic labels.
     """
-    sample = sample.sort_values(["label", "label_id"], ignore_index=True)
-    labels, aside = sample["label"].to_numpy(np.float64), sample["aside"].to_numpy(bool)
-    weight = sample["weight"].to_numpy(np.float64)
+    rows = rows.sort_values(["label", "label_id", "text"], ignore_index=True)
+    labels, aside = rows["label"].to_numpy(np.float64), rows["aside"].to_numpy(bool)
+    weight = np.ones(len(rows))
     rng = np.random.default_rng(seed)
-    if len(sample) == 0 or labels[~aside].min(initial=1) == labels[~aside].max(initial=0) or not (~aside).any():
-        share = ((weight * labels).sum() + 1) / (weight.sum() + 2) if len(sample) else 0.0
-        count = FILTERS * len(WIDTHS)
-        nothing = (np.zeros(n, np.float32) for n in ((1, DIM), (DIM, FILTERS * sum(WIDTHS)), count, count, count))
-        return Model(*nothing, constant=float(share))
-    numbers: dict[str, int] = {}
-    texts = sample["text"].tolist()
-    docs = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in words_of(t)), np.int64) for t in texts]
-    pieces = Pieces.of(list(numbers))
+    if len(rows) == 0 or labels[~aside].min(initial=1) == labels[~aside].max(initial=0) or not (~aside).any():
+        return _constant(_share(labels.sum(), len(rows)))
+    texts = rows["text"].tolist()
+    docs, pieces = _numbered(texts)
     fit, check = np.flatnonzero(~aside), np.flatnonzero(aside)
     if len(set(labels[check])) < 2:
         check = fit
-    model = _initial([docs[i] for i in fit], pieces, labels[fit], rng)
-    trained = ("embeddings", "filters", "bias", "largest", "spread")
-    rules = {name: _Adagrad(getattr(model, name)) for name in trained}
+    seen = np.zeros((2, BUCKETS), np.float32)
+    _count_buckets(seen, [docs[i] for i in fit], pieces, labels[fit])
+    model = _initial(seen, labels[fit].mean(), rng)
+    rules = {name: _Adagrad(getattr(model, name)) for name in _TRAINED}
     best, loss = model, np.inf
-    # Small samples are gone through more often.
+    # Small tables are gone through more often.
     for _ in range(max(EPOCHS, min(40, 3000 // len(fit)))):
-        order = rng.permutation(fit)
-        for at in range(0, len(order), BATCH):
-            step = order[at : at + BATCH]
-            _train_batch(model, rules, [docs[i] for i in step], pieces, labels[step])
+        _learn(model, rules, docs, pieces, labels, rng.permutation(fit))
         raw = Scorer(model).raw([texts[i] for i in check])
         model.slope, model.shift = _platt(raw, labels[check], weight[check])
         now = _log_loss(model.probability(raw), labels[check], weight[check])
         if now < loss:
-            loss, best = now, replace(model, **{name: getattr(model, name).copy() for name in trained})
+            loss, best = now, _copy(model)
     scores = best.probability(Scorer(best).raw([texts[i] for i in check]))
-    langs = sample["lang"].astype(object).where(sample["lang"].notna(), None).to_numpy()[check]
+    langs = rows["lang"].astype(object).where(rows["lang"].notna(), None).to_numpy()[check]
     for lang in sorted({x for x in langs if x is not None}):
         own = langs == lang
         if min(labels[check][own].sum(), (1 - labels[check][own]).sum()) >= LEAST_LABELS:
@@ -339,15 +385,160 @@ def train(sample: pd.DataFrame, seed: int = 7) -> Model:
     return best
 
 
+# What tasks send of a model: by block of buckets the buckets, their steps and how
+# much Adagrad has seen; in block -1 the other weights.
+_STEPS_SCHEMA = "block int, part int, at binary, steps binary, seen binary"
+
+
+def _by_block(at: np.ndarray, steps: np.ndarray, seen: np.ndarray) -> pd.DataFrame:
+    cuts = np.flatnonzero(np.diff(at // BLOCK_BUCKETS)) + 1
+    parts = [x for x in zip(np.split(at, cuts), np.split(steps, cuts), np.split(seen, cuts)) if len(x[0])]
+    part = TaskContext.get().partitionId()
+    told = [(int(a[0]) // BLOCK_BUCKETS, part, a.astype("<i4").tobytes(), x.astype("<f4").tobytes(), y.astype("<f4").tobytes()) for a, x, y in parts]
+    return pd.DataFrame(told, columns=["block", "part", "at", "steps", "seen"])
+
+
+def _count_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    seen = np.zeros((2, BUCKETS), np.float32)
+    for batch in batches:
+        docs, pieces = _numbered(batch["text"].tolist())
+        _count_buckets(seen, docs, pieces, batch["label"].to_numpy())
+    at = np.flatnonzero(seen.any(axis=0))
+    yield _by_block(at, seen[0, at], seen[1, at])
+
+
+def _learn_part(shared):
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given, seen = shared.value
+        model = _copy(given)
+        rules = {name: _Adagrad(getattr(model, name)) for name in _TRAINED}
+        for name, rule in rules.items():
+            rule.seen = seen[name].copy()
+        rows = 0
+        for batch in batches:
+            docs, pieces = _numbered(batch["text"].tolist())
+            _learn(model, rules, docs, pieces, batch["label"].to_numpy(np.float64), np.arange(len(batch)))
+            rows += len(batch)
+        if not rows:
+            return
+        at = np.flatnonzero((rules["embeddings"].seen != seen["embeddings"]).any(axis=1))
+        moved = (model.embeddings - given.embeddings)[at], (rules["embeddings"].seen - seen["embeddings"])[at]
+        yield _by_block(at, *moved)
+        dense = {n: (getattr(model, n) - getattr(given, n), rules[n].seen - seen[n]) for n in _TRAINED[1:]}
+        told = (-1, TaskContext.get().partitionId(), b"", pickle.dumps((dense, model.offset - given.offset)), b"")
+        yield pd.DataFrame([told], columns=["block", "part", "at", "steps", "seen"])
+
+    return learn
+
+
+def _added(width: int, averaged: bool):
+    """The steps of a block from all tasks: added, or averaged over the tasks that moved a bucket."""
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("part")
+        first = group.iloc[:1].copy()
+        if first["block"].iloc[0] < 0:
+            return group
+        base = int(first["block"].iloc[0]) * BLOCK_BUCKETS
+        steps, seen = np.zeros((2, BLOCK_BUCKETS, width))
+        tasks = np.zeros((BLOCK_BUCKETS, 1))
+        for at, x, y in zip(group["at"], group["steps"], group["seen"]):
+            own = np.frombuffer(at, "<i4") - base
+            steps[own] += np.frombuffer(x, "<f4").reshape(-1, width)
+            seen[own] += np.frombuffer(y, "<f4").reshape(-1, width)
+            tasks[own] += 1
+        own = np.flatnonzero(tasks)
+        if averaged:
+            steps /= np.maximum(tasks, 1)
+        first["at"] = [(own + base).astype("<i4").tobytes()]
+        first["steps"], first["seen"] = [steps[own].astype("<f4").tobytes()], [seen[own].astype("<f4").tobytes()]
+        return first
+
+    return add
+
+
+def _arrays(row, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(row.at, "<i4"), *(np.frombuffer(x, "<f4").reshape(-1, width) for x in (row.steps, row.seen))
+
+
+def _next_model(fit_rows: DataFrame, model: Model, seen: dict[str, np.ndarray], parts: int, turn: int) -> Model:
+    """One pass over all rows in ``parts`` streams; ``seen`` is brought up to date."""
+    shared = fit_rows.sparkSession.sparkContext.broadcast((model, seen))
+    # Other rows follow one another in each pass.
+    dealt = fit_rows.select("label_id", "label", "text").repartition(parts, "label_id")
+    dealt = dealt.sortWithinPartitions(F.xxhash64(F.lit(turn), "label_id"), "label_id", "text")
+    told = dealt.mapInPandas(_learn_part(shared), _STEPS_SCHEMA).groupBy("block").applyInPandas(_added(DIM, True), _STEPS_SCHEMA)
+    rows = sorted(told.collect(), key=lambda r: (r.block, r.part))
+    shared.unpersist()
+    model = _copy(model)
+    others = [pickle.loads(r.steps) for r in rows if r.block < 0]
+    for name in _TRAINED[1:]:
+        getattr(model, name)[...] += sum(dense[name][0] for dense, _ in others) / len(others)
+        seen[name] += sum(dense[name][1] for dense, _ in others)
+    model.offset += sum(offset for _, offset in others) / len(others)
+    for row in (r for r in rows if r.block >= 0):
+        at, steps, more = _arrays(row, DIM)
+        model.embeddings[at] += steps
+        seen["embeddings"][at] += more
+    return model
+
+
+def _outputs_of(rows: DataFrame, model: Model) -> DataFrame:
+    """How many rows have a language, label and raw output, told apart to ``RAW_DIGITS`` digits; stored."""
+    raw = F.round(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), _output_column(rows.sparkSession, model, F.col("text"), False))), RAW_DIGITS)
+    told = rows.select("lang", "label", raw.alias("raw")).groupBy("lang", "label", "raw").agg(F.count(F.lit(1)).alias("n"))
+    return materialise(told, "toxic_outputs")
+
+
+def train_in_parts(rows: DataFrame, seed: int = 7) -> Model:
+    """``train`` for any number of stored rows: tasks learn a part each, pass by pass."""
+    counts = {(r.aside, r.label): r.n for r in rows.groupBy("aside", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    clean, toxic = (counts.get((False, label), 0) for label in (0, 1))
+    if not clean or not toxic:
+        return _constant(_share(toxic + counts.get((True, 1), 0), sum(counts.values())))
+    fit_rows = rows.where("NOT aside")
+    check = rows.where("aside") if counts.get((True, 0)) and counts.get((True, 1)) else fit_rows
+    parts = min(MOST_PARTS, -(-(clean + toxic) // PART_ROWS))
+    counted = fit_rows.select("label", "text").mapInPandas(_count_part, _STEPS_SCHEMA)
+    held = np.zeros((2, BUCKETS), np.float32)
+    for row in counted.groupBy("block").applyInPandas(_added(1, False), _STEPS_SCHEMA).collect():
+        at, *by_label = _arrays(row, 1)
+        held[:, at] = np.hstack(by_label).T
+    model = _initial(held, toxic / (clean + toxic), np.random.default_rng(seed))
+    seen = {name: _Adagrad(getattr(model, name)).seen for name in _TRAINED}
+    best, of_best, loss = model, None, np.inf
+    for turn in range(max(LEAST_PASSES, -(-SEEN_ROWS // (clean + toxic)))):
+        model = _next_model(fit_rows, model, seen, parts, turn)
+        outputs = _outputs_of(check, model)
+        told = outputs.groupBy("label", "raw").agg(F.sum("n").alias("n")).orderBy("label", "raw").toPandas()
+        raw, labels, n = (told[c].to_numpy(np.float64) for c in ("raw", "label", "n"))
+        model.slope, model.shift = _platt(raw, labels, n)
+        now = _log_loss(model.probability(raw), labels, n)
+        if now < loss:
+            loss, best, of_best = now, model, outputs
+
+    def cut(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["label", "raw"])
+        labels, n = group["label"].to_numpy(np.float64), group["n"].to_numpy(np.float64)
+        if min((n * labels).sum(), (n * (1 - labels)).sum()) < LEAST_LABELS:
+            return pd.DataFrame({"lang": [], "cut": []})
+        scores = 1 / (1 + np.exp(-np.clip(slope * group["raw"].to_numpy() + shift, -30, 30)))
+        return pd.DataFrame({"lang": [key[0]], "cut": [_best_cut(scores, labels, n)]})
+
+    slope, shift = best.slope, best.shift
+    by_lang = of_best.where("lang IS NOT NULL").groupBy("lang").applyInPandas(cut, "lang string, cut double")
+    return replace(best, thresholds={r.lang: r.cut for r in by_lang.collect()})
+
+
 def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """At most ``MOST_TOXIC`` and ``MOST_CLEAN`` labelled rows outside the held-out fold, by smallest hash of their id.
+    """Every labelled row outside the held-out fold: label_id, label, text, lang, aside (one id in five).
 
-    Rows are weighted back to the shares of the labels. A document with several
-    labels counts as toxic if one of them says so; null ids and labels are left out.
+    A document with several labels counts as toxic if one of them says so; null
+    ids and labels are left out. Rows that share an id count once if they are equal.
     """
     own = (
         labels.where(f"{id_col} IS NOT NULL AND toxic IN (0, 1)")
@@ -358,21 +549,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     # Of the documents' columns these three alone, whatever the others are called.
     known = docs.select(F.col(id_col).alias("known_id"), present(F.col(text_col)).alias("text"), lang.alias("lang"))
-    known = known.where(F.char_length("text") <= LONGEST_SAMPLE)
-    parts = []
-    for label, most in ((1, MOST_TOXIC), (0, MOST_CLEAN)):
-        of_label = own.where(F.col("label") == label)
-        total = of_label.count()
-        # At most ``most`` rows, so sending them everywhere is cheap at any size.
-        chosen = of_label.orderBy(F.xxhash64("label_id"), "label_id").limit(most)
-        found = known.join(F.broadcast(chosen), F.col("known_id") == F.col("label_id")).select(
-            "label_id", "label", "text", "lang", F.lit(float(total)).alias("total")
-        )
-        parts.append(found.dropDuplicates(["label_id"]))
-    sample = parts[0].unionAll(parts[1])
-    share = F.count(F.lit(1)).over(Window.partitionBy("label"))
-    aside = F.pmod(F.xxhash64(F.lit("aside"), "label_id"), F.lit(5)) == 0
-    return sample.withColumn("aside", aside).withColumn("weight", F.col("total") / share).drop("total")
+    found = known.join(own, F.col("known_id") == F.col("label_id")).select("label_id", "label", "text", "lang").distinct()
+    return found.withColumn("aside", F.pmod(F.xxhash64(F.lit("aside"), "label_id"), F.lit(5)) == 0)
 
 
 def _train_in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -381,8 +559,7 @@ def _train_in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"model": [pickle.dumps(train(pd.concat(parts, ignore_index=True)))]})
 
 
-def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
-    """Probability that a text is toxic; null and empty texts are scored as texts without words."""
+def _output_column(spark: SparkSession, model: Model, text: Column, probable: bool) -> Column:
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(DoubleType())
@@ -393,11 +570,17 @@ def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
             if own.constant is not None:
                 yield pd.Series(np.full(len(batch), own.constant))
             else:
-                yield pd.Series(own.probability(scorer.raw(batch.tolist())))
+                raw = scorer.raw(batch.tolist())
+                yield pd.Series(own.probability(raw) if probable else raw)
 
     return score(present(text))
 
 
+def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
+    """Probability that a text is toxic; null and empty texts are scored as texts without words."""
+    return _output_column(spark, model, text, True)
+
+
 def threshold_column(model: Model, lang: Column) -> Column:
     """The language's threshold, or the common cut."""
     found = [F.when(lang == k, F.lit(v)) for k, v in sorted(model.thresholds.items())]
@@ -405,12 +588,15 @@ def threshold_column(model: Model, lang: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, **columns) -> Model:
-    """Train in one task, which is run again elsewhere if its executor is lost; the driver gets the model."""
+    """Learn from every labelled row, few of them in one task, which is run again elsewhere if its executor is lost."""
     # Rows are long: small batches keep what Arrow hands over bounded.
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    sample = training_sample(docs, labels, **columns)
-    trained = sample.repartition(1).mapInPandas(_train_in_task, "model binary").collect()
-    return pickle.loads(trained[0].model) if trained else train(sample.limit(0).toPandas())
+    rows = materialise(training_sample(docs, labels, **columns), "toxic_labelled")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text").cast("bigint")).alias("chars")).first()
+    if size.n > ALONE_ROWS or (size.chars or 0) > ALONE_CHARS:
+        return train_in_parts(rows)
+    trained = rows.repartition(1).mapInPandas(_train_in_task, "model binary").collect()
+    return pickle.loads(trained[0].model) if trained else train(rows.limit(0).toPandas())
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

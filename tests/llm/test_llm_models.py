@@ -61,6 +61,32 @@ def test_toxicity_ignores_held_out_labels(spark, corpus):
     assert one["label"].isin([0, 1]).all() and len(one) < 600
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """More rows than one task learns alone, and texts of any length: all of them teach, in parts."""
+    monkeypatch.setattr(toxicity, "ALONE_ROWS", 200)
+    monkeypatch.setattr(toxicity, "PART_ROWS", 300)
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(1600):
+        toxic = int(rng.random() < 0.3)
+        text = [*rng.choice(words, 30), *(["vile"] if toxic else [])]
+        rows.append((i, " ".join(rng.permutation(text)), "en" if i % 2 else "fr"))
+        labels.append((i, toxic))
+    rows.append((5000, "tail " * 40_000, "en"))
+    labels.append((5000, 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    learned = marks.where(toxicity.fold_of(marks["doc_id"]) != toxicity.HELD_OUT_FOLD)
+    assert toxicity.training_sample(docs, marks).count() == learned.count() > 1000
+    found = toxicity.toxicity(docs, marks).collect()
+    truth, aside = dict(labels), [r for r in found if r.held_out]
+    assert len(found) == 1601 and sum(r.predicted == truth[r.doc_id] for r in aside) >= 0.97 * len(aside) > 300
+    # A second run learns the same.
+    again = {r.doc_id: r.score for r in toxicity.toxicity(docs, marks).collect()}
+    assert max(abs(again[r.doc_id] - r.score) for r in found) < 1e-6
+
+
 def test_toxicity_without_labels(spark, corpus, odd_docs, no_docs):
     _, labels = corpus
     scores = {r.score for r in toxicity.toxicity(odd_docs, labels.where("false")).collect()}
