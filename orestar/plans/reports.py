@@ -185,6 +185,8 @@ _ORDER_SETS = {
     "cost": ["cost_from"],
 }
 _SUM_SETS = {"known_category": ["category", "known_product"], "gender": ["gender"], "marital_status": ["marital_status"]}
+# What the customer and the day tell, and what the product tells.
+_TOGETHER = [["country", "month", "gender", "marital_status"], ["category", "product_line", "cost", "known_category"]]
 
 
 def summaries(star: DataFrame, band: int = 100) -> DataFrame:
@@ -199,7 +201,8 @@ def summaries(star: DataFrame, band: int = 100) -> DataFrame:
         "order_number", "sales_amount", "quantity", "CAST(quantity AS bigint) * cost AS line_cost",
     )
     sums = {"total_sales": "sales_amount", "units": "quantity", "total_cost": "line_cost", "profit": "sales_amount - line_cost"}
-    return grouped_sets(told, {**_ORDER_SETS, **_SUM_SETS}, "order_number", sums, list(_ORDER_SETS)).withColumnRenamed("n_counted", "orders")
+    found = grouped_sets(told, {**_ORDER_SETS, **_SUM_SETS}, "order_number", sums, list(_ORDER_SETS), _TOGETHER)
+    return found.withColumnRenamed("n_counted", "orders")
 
 
 def _of_set(found: DataFrame, name: str) -> DataFrame:

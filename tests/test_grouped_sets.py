@@ -51,3 +51,34 @@ def test_no_rows_and_equal_sets(rows):
     assert grouped_sets(rows.where("false"), SETS, "o", SUMS, ["a"]).count() == 0
     with pytest.raises(ValueError, match="same columns"):
         grouped_sets(rows, {"a": ["a"], "again": ["a"]}, "o", SUMS, [])
+
+
+def test_counted_values_are_not_multiplied(rows):
+    expand = next(line for line in plan_of(grouped_sets(rows, SETS, "o", SUMS, ["a", "b", "ab"])).splitlines() if "Expand" in line)
+    # A counted value is sent once with its masks, not once per set: the cells that are multiplied lack it.
+    assert "o#" not in expand and "a#" in expand
+
+
+@pytest.mark.parametrize("most_masked", [1024, 100, 0])
+@pytest.mark.parametrize("together", [(), [["k", "all"], ["m", "km", "k_sums"]]])
+def test_many_values(spark, most_masked, together):
+    rng = random.Random(5)
+    # 64, 65 and more values: masks of one word, of two and of many; one counted value is in most rows.
+    made = [
+        (rng.choice([None, *range(64)]), rng.randrange(64), "hot" if rng.random() < 0.6 else rng.choice([None, f"o{rng.randrange(40)}"]), i)
+        for i in range(3000)
+    ]
+    rows = spark.createDataFrame(made, "k int, m int, o string, x int")
+    rows.createOrReplaceTempView("many_values")
+    sets = {"k": ["k"], "m": ["m"], "km": ["k", "m"], "all": [], "k_sums": ["k"]}
+    found = grouped_sets(rows, sets, "o", {"total": "x"}, ["k", "m", "km", "all"], together, most_masked).cache()
+    for name, own in sets.items():
+        by = "".join(f"{column}, " for column in own)
+        n = "0L" if name == "k_sums" else "count(DISTINCT o)"
+        expected = spark.sql(f"SELECT {by} {n} AS n_counted, sum(x) AS total FROM many_values" + (f" GROUP BY {by[:-2]}" if own else ""))
+        assert same_rows(found.where(f"grouped_by = '{name}'").select(*expected.columns), expected), name
+
+
+def test_sets_left_out_of_the_groups(rows):
+    with pytest.raises(ValueError, match="one group"):
+        grouped_sets(rows, SETS, "o", SUMS, [], [["a", "b"]])
