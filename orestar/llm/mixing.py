@@ -229,9 +229,11 @@ def _with_shards(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     found = draws.join(owners, ["source_rank", "draw"]).groupBy("key", "block").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda d: d.shard).alias("shards")
     )
-    return blocks.join(found, ["key", "block"], "left").select(
+    dealt_blocks = blocks.join(found, ["key", "block"], "left").select(
         "key", "block", "source_size", "target", "passes", "whole", "chosen", "shards"
     )
+    # What meets the documents is planned from here on, without the tree.
+    return materialise(dealt_blocks, "mix_shards")
 
 
 def _copies(placed: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -278,6 +280,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # Rows that repeat id and text are taken alike; the table has them once.
         .dropDuplicates([own_id, own_place])
     )
+    # Texts are moved by a query of one join, which the driver holds beside nothing else.
+    taken = materialise(taken, "mix_taken")
     place = F.xxhash64(F.lit(seed), docs[id_col], row_digest(docs[text_col]))
     rows = docs.join(taken, same(docs[id_col], taken[own_id]) & (place == taken[own_place]))
     dealt = rows.select(*(docs[c] for c in docs.columns), own_place, F.posexplode(shards).alias(copy, shard))

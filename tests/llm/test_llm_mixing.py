@@ -100,3 +100,10 @@ def test_mixed_documents_are_the_taken_copies(odd_docs):
 def test_empty_table(no_docs):
     assert mixing.mixture(no_docs).count() == 0
     assert mixing.mixed_documents(no_docs).count() == 0
+
+
+def test_texts_are_moved_by_one_join(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 50)), "en", f"s{i % 5}") for i in range(300)]
+    plan = mixing.mixed_documents(documents(spark, rows), block_words=500, shard_words=700)._jdf.queryExecution().executedPlan().toString()
+    # Neither the tree over the shards nor the plan of the mix is left in it, however many shards there are.
+    assert len(re.findall(r"\w*Join", plan)) == 1 and plan.count("Generate") == 1 and "Aggregate" not in plan
